@@ -21,5 +21,5 @@ def hash_uniform(seed: int, *keys: Column | str) -> Column:
 
 
 def hash_int(seed: int, *keys: Column | str, lane: int = 0) -> Column:
-    """28-bit integer; lanes 0..3 read disjoint parts of one digest."""
-    return _hex_slice(_digest(seed, *keys), 1 + 7 * lane, 7)
+    """32-bit integer; lanes 0..3 read disjoint parts of one digest."""
+    return _hex_slice(_digest(seed, *keys), 1 + 8 * lane, 8)

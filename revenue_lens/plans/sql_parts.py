@@ -14,6 +14,11 @@ NATION_ORDERS = """no AS (
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
 
 
+SEGMENT_ORDERS = """so AS (
+  SELECT c_mktsegment AS series_key, o_orderdate::DATE AS order_date, o_totalprice AS revenue
+  FROM orders JOIN customer ON o_custkey = c_custkey)"""
+
+
 def snapshot(name: str, as_of: str) -> str:
     """Customer snapshot at ``as_of`` from table o, with the mean gap taken from real gaps."""
     return f"""{name}_past AS (SELECT *, {as_of} AS as_of FROM o WHERE order_date <= {as_of}),

@@ -82,6 +82,16 @@ def orders_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def orders_by_market_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with ``series_key`` = the customer's market segment."""
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", F.col("c_mktsegment").alias("series_key"))
+    return (
+        tpch_orders(spark, sf_dir)
+        .join(customer, F.col("customer_id") == F.col("c_custkey"))
+        .select("series_key", "customer_id", "order_date", "revenue", "category")
+    )
+
+
 def purchases(events: DataFrame) -> DataFrame:
     """Purchase events as orders; works on a batch and on a stream."""
     return events.where(F.col("event_type") == "purchase").select(
