@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revenue_lens.functions import from_cents, to_cents
+from revenue_lens.functions import from_cents, to_cents, week_end
 from revenue_lens.operators import alerts, drift
 from revenue_lens.operators.churn import score_requests
 from revenue_lens.operators.storage import materialize
@@ -18,14 +18,16 @@ from revenue_lens.sources.orders import split_requests
 def weekly_revenue_stream(purchases: DataFrame, lateness: str = "7 days") -> DataFrame:
     """Revenue per week ending Monday from (ts, revenue) events.
 
-    Windows start on Tuesday 00:00, so they hold the same orders as the batch weeks. State
-    is one row per open week; events later than ``lateness`` are left out. Empty weeks are
-    not emitted; the batch operator fills them.
+    The event time is the closing Monday itself, so a stream week holds exactly the orders
+    of the batch week in any session time zone. State is one row per open week; a week is
+    emitted, and later events for it left out, once an event arrives that lies more than
+    ``lateness`` past it in closing time. Empty weeks are not emitted; the batch operator
+    fills them.
     """
-    tuesday_to_monday = F.window("ts", "7 days", "7 days", "5 days")
-    weeks = purchases.withWatermark("ts", lateness).groupBy(tuesday_to_monday.alias("week"))
+    closing = week_end(F.col("ts")).cast("timestamp")
+    weeks = purchases.withColumn("closing", closing).withWatermark("closing", lateness).groupBy("closing")
     return weeks.agg(F.sum(to_cents(F.col("revenue"))).alias("cents")).select(
-        F.date_sub(F.to_date("week.end"), 1).alias("week_end"), from_cents(F.col("cents")).alias("revenue")
+        F.to_date("closing").alias("week_end"), from_cents(F.col("cents")).alias("revenue")
     )
 
 
