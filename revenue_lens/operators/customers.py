@@ -14,14 +14,10 @@ from revenue_lens.settings import FEATURE_LAG_DAYS, INACTIVE_DAYS, TRAILING_DAYS
 
 LAGGED = ["frequency_365d", "monetary_365d", "tenure_days", "avg_interpurchase_days", "clv_proxy"]
 
-# Snapshots computed per scan; keeps the aggregate below Spark's 100-field codegen limit.
-SNAPSHOTS_PER_SCAN = 4
-
-
-def _sums(as_of: dt.date, tag: str) -> list[Column]:
+def _sums(as_of: Column, tag: str) -> list[Column]:
     """Algebraic aggregates of one snapshot; all combine on the map side."""
-    seen = F.col("order_date") <= F.lit(as_of)
-    recent = seen & (F.col("order_date") > F.lit(as_of - dt.timedelta(days=TRAILING_DAYS)))
+    seen = F.col("order_date") <= as_of
+    recent = seen & (F.col("order_date") > F.date_sub(as_of, TRAILING_DAYS))
     return [
         F.min(F.when(seen, F.col("order_date"))).alias(f"{tag}_first"),
         F.max(F.when(seen, F.col("order_date"))).alias(f"{tag}_last"),
@@ -32,12 +28,12 @@ def _sums(as_of: dt.date, tag: str) -> list[Column]:
     ]
 
 
-def _snapshot(as_of: dt.date, tag: str) -> dict[str, Column]:
+def _snapshot(as_of: Column, tag: str) -> dict[str, Column]:
     """Feature columns of one snapshot from its sums; NULL where the customer is unknown yet."""
     first, last = F.col(f"{tag}_first"), F.col(f"{tag}_last")
     orders, frequency = F.col(f"{tag}_orders"), F.col(f"{tag}_recent_orders")
     monetary = from_cents(F.col(f"{tag}_recent_cents"))
-    recency, tenure = days_between(F.lit(as_of), last), days_between(last, first)
+    recency, tenure = days_between(as_of, last), days_between(last, first)
     # The mean of successive gaps telescopes to tenure / (orders - 1); a single order has none.
     gap = F.when(orders > 1, tenure / (orders - 1)).when(orders == 1, F.lit(0.0))
     return {
@@ -53,11 +49,11 @@ def _snapshot(as_of: dt.date, tag: str) -> dict[str, Column]:
     }
 
 
-def _labelled(as_of: dt.date, tag: str, lag_tag: str, lag_date: dt.date, inactive_days: int) -> dict[str, Column]:
+def _labelled(as_of: Column, lag_days: int, inactive_days: int) -> dict[str, Column]:
     """Snapshot, churn label, lagged snapshot and survival columns."""
-    now, lag = _snapshot(as_of, tag), _snapshot(lag_date, lag_tag)
+    now, lag = _snapshot(as_of, "now"), _snapshot(F.date_sub(as_of, lag_days), "lag")
     churned = now["recency_days"] > inactive_days
-    observed = days_between(F.lit(as_of), now["first_purchase"])
+    observed = days_between(as_of, now["first_purchase"])
     until_churn = days_between(F.date_add(now["last_purchase"], inactive_days), now["first_purchase"])
     duration = F.greatest(F.when(churned, until_churn).otherwise(observed), F.lit(1))
     return {
@@ -82,10 +78,9 @@ def customer_features(
     lag_days: int = FEATURE_LAG_DAYS,
 ) -> DataFrame:
     """One row per customer with an order up to ``as_of``: both snapshots in one aggregation."""
-    lag_date = as_of - dt.timedelta(days=lag_days)
-    sums = _in_cents(orders, as_of).groupBy("customer_id").agg(*_sums(as_of, "now"), *_sums(lag_date, "lag"))
-    columns = _labelled(as_of, "now", "lag", lag_date, inactive_days)
-    return sums.select("customer_id", *[c.alias(n) for n, c in columns.items()])
+    at = F.lit(as_of)
+    sums = _in_cents(orders, as_of).groupBy("customer_id").agg(*_sums(at, "now"), *_sums(F.date_sub(at, lag_days), "lag"))
+    return sums.select("customer_id", *[c.alias(n) for n, c in _labelled(at, lag_days, inactive_days).items()])
 
 
 def customer_features_at(
@@ -96,27 +91,19 @@ def customer_features_at(
 ) -> DataFrame:
     """`customer_features` at several dates, keyed by (customer_id, as_of_date).
 
-    Each scan of the orders serves several dates and shuffles one row per customer.
+    One scan for any number of dates. Each order meets the dates that see it inside its own
+    task and is summed there, so the shuffle carries at most one row per customer and date
+    from each partition.
     """
-    lag = dt.timedelta(days=lag_days)
-    result = None
     dates = sorted(set(as_of_dates))
-    for start in range(0, len(dates), SNAPSHOTS_PER_SCAN):
-        chunk = dates[start : start + SNAPSHOTS_PER_SCAN]
-        aggregates, rows = [], []
-        for i, day in enumerate(chunk):
-            aggregates += _sums(day, f"now{i}") + _sums(day - lag, f"lag{i}")
-            columns = _labelled(day, f"now{i}", f"lag{i}", day - lag, inactive_days)
-            rows.append(F.struct(F.lit(day).alias("as_of_date"), *[c.alias(n) for n, c in columns.items()]))
-        part = (
-            _in_cents(orders, chunk[-1])
-            .groupBy("customer_id")
-            .agg(*aggregates)
-            .select("customer_id", F.inline(F.array(*rows)))
-            .where("first_purchase IS NOT NULL")
-        )
-        result = part if result is None else result.unionByName(part)
-    return result
+    at = F.col("as_of_date")
+    seen = (
+        _in_cents(orders, dates[-1])
+        .withColumn("as_of_date", F.explode(F.array(*[F.lit(d) for d in dates])))
+        .where(F.col("order_date") <= at)
+    )
+    sums = seen.groupBy("customer_id", "as_of_date").agg(*_sums(at, "now"), *_sums(F.date_sub(at, lag_days), "lag"))
+    return sums.select("customer_id", "as_of_date", *[c.alias(n) for n, c in _labelled(at, lag_days, inactive_days).items()])
 
 
 def purchase_gaps(orders: DataFrame, as_of: dt.date | None = None) -> DataFrame:

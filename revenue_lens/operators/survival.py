@@ -26,17 +26,14 @@ def _curve(by_day: DataFrame) -> DataFrame:
     segment = Window.partitionBy("segment")
     later = segment.orderBy("t").rowsBetween(Window.currentRow, Window.unboundedFollowing)
     so_far = segment.orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    starts = by_day.groupBy("segment").agg(
-        F.lit(0).alias("t"), F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("events")
-    )
-    at_risk = by_day.unionByName(starts).withColumn("at_risk", F.sum("n").over(later))
-    return at_risk.select(
-        "segment",
-        "t",
-        "at_risk",
-        "events",
-        F.product(1 - F.col("events") / F.col("at_risk")).over(so_far).alias("survival"),
+    day = F.struct("t", "at_risk", "events")
+    start = F.struct(F.lit(0).alias("t"), F.col("at_risk"), F.lit(0).cast("bigint").alias("events"))
+    is_first = F.lag("t").over(segment.orderBy("t")).isNull()
+    days = (
+        by_day.withColumns({"at_risk": F.sum("n").over(later), "is_first": is_first})
+        .select("segment", F.inline(F.when(F.col("is_first"), F.array(start, day)).otherwise(F.array(day))))
     )
+    return days.withColumn("survival", F.product(1 - F.col("events") / F.col("at_risk")).over(so_far))
 
 
 def _by_day(customers: DataFrame, segment) -> DataFrame:

@@ -16,10 +16,14 @@ from revenue_lens.plans.catalog import query, with_ctes
 from revenue_lens.sources.orders import latest_order_date, orders_by_nation, purchases, tpch_orders
 
 
+def features_of(orders: DataFrame) -> DataFrame:
+    """Customer features at the last order date."""
+    return customer_features(orders, latest_order_date(orders))
+
+
 def features_now(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer features at the last order date, stored because ranking reads them twice."""
-    orders = tpch_orders(spark, sf_dir)
-    return materialize(customer_features(orders, latest_order_date(orders)))
+    """Features written once, for queries that read them several times."""
+    return materialize(features_of(tpch_orders(spark, sf_dir)))
 
 
 def rfm_now(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,8 +71,7 @@ def q_weekly_purchases(spark, sf_dir):
 
 @query("customer_features", with_ctes(sql.O, sql.features("f", sql.AS_OF), select=f"SELECT {FEATURE_COLUMNS} FROM f"))
 def q_customer_features(spark, sf_dir):
-    orders = tpch_orders(spark, sf_dir)
-    return customer_features(orders, latest_order_date(orders))
+    return features_of(tpch_orders(spark, sf_dir))
 
 
 def _yearly(last: dt.date) -> list[dt.date]:

@@ -163,7 +163,8 @@ BLEND_SELECT = "SELECT series_key, step, week_end, round(y_true, 2) AS y_true, r
 
 
 def _blended(spark, sf_dir, method):
-    forecasts = nation_baselines(spark, sf_dir)
+    # Weights and blend both read the forecasts: keep the weeks, not the orders, below them.
+    forecasts = baseline_forecasts(split_series(materialize(nation_weeks(spark, sf_dir))))
     rows = blend(forecasts, member_weights(forecasts, method))
     return rows.select("series_key", "step", "week_end", F.round("y_true", 2).alias("y_true"), F.round("y_pred", 4).alias("y_pred"))
 

@@ -5,15 +5,17 @@ from pyspark.sql import functions as F
 
 from revenue_lens.functions.scoring import HEURISTIC_WEIGHTS
 from revenue_lens.operators import attribution, churn, segments, survival
+from revenue_lens.operators.accuracy import forecast_metrics
+from revenue_lens.operators.customers import customer_features
+from revenue_lens.operators.forecasting import baseline_forecasts, best_model, split_series, weekly_series
 from revenue_lens.operators.ranking_metrics import calibration, leaderboard, ranking_metrics
 from revenue_lens.operators.regression import profit_drivers
-from revenue_lens.operators.rfm import SEGMENTS
+from revenue_lens.operators.rfm import SEGMENTS, add_rfm_segments
 from revenue_lens.operators.storage import materialize
-from revenue_lens.operators.weekly import weekly_revenue
 from revenue_lens.plans import sql_parts as sql
 from revenue_lens.plans.catalog import query, with_ctes
-from revenue_lens.plans.customer_queries import features_now, rfm_now, scored_now
-from revenue_lens.plans.monitoring_queries import COMPANY, MONTE_CARLO, company_best_forecast, profit_now
+from revenue_lens.plans.customer_queries import features_now, features_of, rfm_now, scored_now
+from revenue_lens.plans.monitoring_queries import COMPANY, MONTE_CARLO, company_best_forecast, keyed_orders, profit_of
 from revenue_lens.settings import BEHAVIOUR_FEATURES
 from revenue_lens.sources import exports
 from revenue_lens.sources.orders import latest_order_date, tpch_orders, with_reject_reason
@@ -45,7 +47,7 @@ KM_SELECT = "SELECT segment, t, at_risk, events, round(survival, 6) AS survival
 
 @query("km_overall", with_ctes(*RFM, KM_ALL, select=KM_SELECT))
 def q_km_overall(spark, sf_dir):
-    return _rounded(survival.kaplan_meier(features_now(spark, sf_dir)), ["survival"])
+    return _rounded(survival.kaplan_meier(features_of(tpch_orders(spark, sf_dir))), ["survival"])
 
 
 @query("km_by_segment", with_ctes(*RFM, KM_SEGMENT, select=KM_SELECT))
@@ -145,7 +147,7 @@ def q_sample_weights(spark, sf_dir):
 
 
 def heuristic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = scored_now(features_now(spark, sf_dir))
+    scored = scored_now(features_of(tpch_orders(spark, sf_dir)))
     return scored.select(
         F.lit("heuristic").alias("model"), "customer_id", F.col("churned").alias("label"), F.col("churn_probability").alias("prob")
     )
@@ -202,7 +204,7 @@ def q_calibration(spark, sf_dir):
     ),
 )
 def q_risk_tiers(spark, sf_dir):
-    return churn.score_requests(features_now(spark, sf_dir))
+    return churn.score_requests(features_of(tpch_orders(spark, sf_dir)))
 
 
 @query(
@@ -219,7 +221,7 @@ def q_request_validation(spark, sf_dir):
     balances = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
         F.col("c_custkey").alias("customer_id"), F.col("c_acctbal").alias("clv_proxy")
     )
-    requests = features_now(spark, sf_dir).drop("clv_proxy").join(balances, "customer_id", "left")
+    requests = features_of(tpch_orders(spark, sf_dir)).drop("clv_proxy").join(balances, "customer_id", "left")
     return with_reject_reason(requests).select("customer_id", "reject_reason")
 
 
@@ -357,8 +359,9 @@ def q_silhouette_of_rfm_segments(spark, sf_dir):
     ),
 )
 def q_customers_dim(spark, sf_dir):
-    as_of = latest_order_date(tpch_orders(spark, sf_dir))
-    return exports.customers_dim(banded(rfm_now(spark, sf_dir)), as_of)
+    orders = tpch_orders(spark, sf_dir)
+    as_of = latest_order_date(orders)
+    return exports.customers_dim(banded(add_rfm_segments(materialize(customer_features(orders, as_of)))), as_of)
 
 
 @query(
@@ -381,10 +384,13 @@ def q_orders_fact(spark, sf_dir):
 def q_model_scores_fact(spark, sf_dir):
     """With the heuristic score in place of a model's."""
     orders = tpch_orders(spark, sf_dir)
-    last_week = weekly_revenue(orders).orderBy(F.desc("week_end")).first()["revenue"]
-    best = company_best_forecast(spark, sf_dir).first()["model"]
-    scored = scored_now(banded(rfm_now(spark, sf_dir))).withColumnRenamed("churn_probability", "churn_prob")
-    return exports.model_scores_fact(scored, None, latest_order_date(orders), best, last_week)
+    as_of = latest_order_date(orders)
+    weeks = materialize(weekly_series(orders))
+    last_week = weeks.orderBy(F.desc("week_end")).first()["revenue"]
+    best = best_model(forecast_metrics(baseline_forecasts(split_series(weeks)))).first()["model"]
+    customers = add_rfm_segments(materialize(customer_features(orders, as_of)))
+    scored = scored_now(banded(customers)).withColumnRenamed("churn_probability", "churn_prob")
+    return exports.model_scores_fact(scored, None, as_of, best, last_week)
 
 
 @query(
@@ -401,12 +407,13 @@ def q_model_scores_fact(spark, sf_dir):
 )
 def q_kpi_summary(spark, sf_dir):
     """Key figures of one run, in long form."""
-    customers = features_now(spark, sf_dir)
+    orders = keyed_orders(spark, sf_dir)
+    customers = materialize(features_of(orders))
     scored = scored_now(customers).select(
         F.lit("heuristic").alias("model"), F.col("churned").alias("label"), F.col("churn_probability").alias("prob")
     )
     return kpi_table(
-        profit_drivers(customers), profit_now(spark, sf_dir), company_best_forecast(spark, sf_dir), leaderboard(ranking_metrics(scored))
+        profit_drivers(customers), profit_of(orders), company_best_forecast(orders), leaderboard(ranking_metrics(scored))
     )
 
 

@@ -21,9 +21,8 @@ from revenue_lens.sources.orders import latest_order_date, tpch_orders
 from revenue_lens.sources.registry import metrics_map, registry_summary
 
 
-def two_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def two_snapshots(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Features a year before the last order date (baseline) and at it (current), from one scan."""
-    orders = tpch_orders(spark, sf_dir)
     last = latest_order_date(orders)
     first = last - dt.timedelta(days=365)
     both = materialize(customer_features_at(orders, [first, last]))
@@ -85,13 +84,13 @@ def _rounded(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
     ),
 )
 def q_drift_baseline_stats(spark, sf_dir):
-    stats = drift.baseline_stats(two_snapshots(spark, sf_dir)[0])
+    stats = drift.baseline_stats(two_snapshots(tpch_orders(spark, sf_dir))[0])
     return _rounded(stats, ["mean", "std", "min", "max", "q25", "q50", "q75"])
 
 
 @query("drift_psi", with_ctes(*SNAPSHOTS, PSI, select="SELECT feature, round(psi, 6) AS psi FROM psi"))
 def q_drift_psi(spark, sf_dir):
-    return _rounded(drift.psi(drift.both_samples(*two_snapshots(spark, sf_dir))), ["psi"])
+    return _rounded(drift.psi(drift.both_samples(*two_snapshots(tpch_orders(spark, sf_dir)))), ["psi"])
 
 
 @query(
@@ -99,7 +98,7 @@ def q_drift_psi(spark, sf_dir):
     with_ctes(*SNAPSHOTS, KS, select="SELECT feature, round(ks_stat, 6) AS ks_stat, round(p_value, 6)::DOUBLE AS p_value FROM kt"),
 )
 def q_drift_ks(spark, sf_dir):
-    return _rounded(drift.ks(drift.both_samples(*two_snapshots(spark, sf_dir))), ["ks_stat", "p_value"])
+    return _rounded(drift.ks(drift.both_samples(*two_snapshots(tpch_orders(spark, sf_dir)))), ["ks_stat", "p_value"])
 
 
 @query(
@@ -111,7 +110,7 @@ def q_drift_ks(spark, sf_dir):
     ),
 )
 def q_drift_report(spark, sf_dir):
-    return _rounded(drift.drift_report(*two_snapshots(spark, sf_dir)), ["ks_stat", "p_value", "psi"])
+    return _rounded(drift.drift_report(*two_snapshots(tpch_orders(spark, sf_dir))), ["ks_stat", "p_value", "psi"])
 
 
 @query(
@@ -125,7 +124,7 @@ def q_drift_report(spark, sf_dir):
     ),
 )
 def q_drift_summary(spark, sf_dir):
-    return _rounded(drift.drift_summary(drift.drift_report(*two_snapshots(spark, sf_dir))), ["max_psi"])
+    return _rounded(drift.drift_summary(drift.drift_report(*two_snapshots(tpch_orders(spark, sf_dir)))), ["max_psi"])
 
 
 @query(
@@ -147,7 +146,7 @@ rr AS (SELECT sum((pc - pb) * ln(pc / pb)) AS psi, sum((b - xb) ** 2 / xb + (c -
 )
 def q_drift_categorical(spark, sf_dir):
     """RFM segments now against a year ago; the p-value of the statistic has its own test."""
-    old, new = (add_rfm_segments(s) for s in two_snapshots(spark, sf_dir))
+    old, new = (add_rfm_segments(s) for s in two_snapshots(tpch_orders(spark, sf_dir)))
     return _rounded(drift.categorical_drift(old, new, ["rfm_segment"]), ["psi", "chi2"]).drop("p_value")
 
 
@@ -177,7 +176,7 @@ pr AS (
     ),
 )
 def q_drift_psi_from_stats(spark, sf_dir):
-    baseline, current = two_snapshots(spark, sf_dir)
+    baseline, current = two_snapshots(tpch_orders(spark, sf_dir))
     return _rounded(drift.psi_from_stats(drift.baseline_stats(baseline), current), ["psi"], 4)
 
 
@@ -200,8 +199,12 @@ mc AS (
          avg(total) / (SELECT sum(revenue::DECIMAL(18,2))::DOUBLE FROM smp) AS margin_sim FROM dr)"""
 
 
-def profit_now(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = tpch_orders(spark, sf_dir, ["o_orderkey"])
+def keyed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their key, which the simulation samples by."""
+    return tpch_orders(spark, sf_dir, ["o_orderkey"])
+
+
+def profit_of(orders: DataFrame) -> DataFrame:
     return materialize(monte_carlo_profit(orders, "o_orderkey"))
 
 
@@ -215,25 +218,25 @@ def profit_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def q_monte_carlo_profit(spark, sf_dir):
-    money = _rounded(profit_now(spark, sf_dir), ["mean_total_profit", "p5", "p50", "p95", "std"], 2)
+    money = _rounded(monte_carlo_profit(keyed_orders(spark, sf_dir), "o_orderkey"), ["mean_total_profit", "p5", "p50", "p95", "std"], 2)
     return _rounded(money, ["margin_reference", "margin_sim"])
 
 
-def company_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return baseline_forecasts(split_series(weekly_series(tpch_orders(spark, sf_dir))))
+def company_baselines(orders: DataFrame) -> DataFrame:
+    return baseline_forecasts(split_series(weekly_series(orders)))
 
 
 COMPANY = (sql.weekly("w", "o"), SPLIT, BASELINES, METRICS, INVERSE_VARIANCE)
 
 
-def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_metrics(orders: DataFrame) -> DataFrame:
     """The (metric, value) rows the alert rules look at."""
-    baseline, current = two_snapshots(spark, sf_dir)
-    forecasts = materialize(company_baselines(spark, sf_dir))
+    baseline, current = two_snapshots(orders)
+    forecasts = materialize(company_baselines(orders))
     blended = blend(forecasts, member_weights(forecasts))
     tables = [
         alerts.metric_row(current.agg(F.avg("churned").alias("x")), "churn_rate", "x"),
-        alerts.metric_row(profit_now(spark, sf_dir), "margin", "margin_sim"),
+        alerts.metric_row(profit_of(orders), "margin", "margin_sim"),
         alerts.metric_row(forecast_metrics(blended), "mape", "mape"),
         alerts.metric_row(drift.drift_summary(drift.drift_report(baseline, current)), "max_psi", "max_psi"),
     ]
@@ -269,7 +272,7 @@ al AS (
     ),
 )
 def q_alerts(spark, sf_dir):
-    found = alerts.evaluate(run_metrics(spark, sf_dir), alerts.rules(spark))
+    found = alerts.evaluate(run_metrics(keyed_orders(spark, sf_dir)), alerts.rules(spark))
     return _rounded(found.select("rule", "severity", "message", "value", "threshold"), ["value", "threshold"])
 
 
@@ -346,5 +349,5 @@ def q_model_staleness(spark, sf_dir):
     return alerts.evaluate(alerts.model_ages(forecast_registry(spark, sf_dir), now), alerts.rules(spark))
 
 
-def company_best_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_model(forecast_metrics(company_baselines(spark, sf_dir)))
+def company_best_forecast(orders: DataFrame) -> DataFrame:
+    return best_model(forecast_metrics(company_baselines(orders)))
