@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revenue_lens.functions import hash_uniform, heuristic_probability, risk_tier
-from revenue_lens.operators.ranking import global_ranks
+from revenue_lens.operators.ranking import beyond, rows_at_ranks
 from revenue_lens.operators.ranking_metrics import ranking_metrics
 from revenue_lens.operators.storage import materialize
 from revenue_lens.settings import CHURN_FEATURES, CHURN_TEST_SHARE, SEED
@@ -50,12 +50,11 @@ def stratified_split(customers: DataFrame, share: float = CHURN_TEST_SHARE, seed
     in one task.
     """
     hashed = customers.withColumn("_u", hash_uniform(seed, F.col(KEY)))
-    ranked = global_ranks(hashed.select(LABEL, "_u", KEY), LABEL, ["_u", KEY])
-    closing = ranked.where(F.col("rank") == F.floor(F.col("group_rows") * share + 0.5))
+    test_size = lambda n: [int(n * share + 0.5)]
+    closing = rows_at_ranks(hashed.select(LABEL, "_u", KEY), LABEL, "_u", KEY, test_size)
     is_test = F.lit(False)
-    for row in closing.select(LABEL, "_u", KEY).collect():
-        inside = (F.col("_u") < row["_u"]) | ((F.col("_u") == row["_u"]) & (F.col(KEY) <= row[KEY]))
-        is_test = F.when(F.col(LABEL) == row[LABEL], inside).otherwise(is_test)
+    for label, (last,) in closing.items():
+        is_test = F.when(F.col(LABEL) == label, ~beyond(F.col("_u"), F.col(KEY), last)).otherwise(is_test)
     return hashed.withColumn("is_test", is_test).drop("_u")
 
 

@@ -19,7 +19,6 @@ def _sums(as_of: Column, tag: str) -> list[Column]:
     seen = F.col("order_date") <= as_of
     recent = seen & (F.col("order_date") > F.date_sub(as_of, TRAILING_DAYS))
     return [
-        F.min(F.when(seen, F.col("order_date"))).alias(f"{tag}_first"),
         F.max(F.when(seen, F.col("order_date"))).alias(f"{tag}_last"),
         F.count(F.when(seen, 1)).alias(f"{tag}_orders"),
         F.count(F.when(recent, 1)).alias(f"{tag}_recent_orders"),
@@ -30,7 +29,8 @@ def _sums(as_of: Column, tag: str) -> list[Column]:
 
 def _snapshot(as_of: Column, tag: str) -> dict[str, Column]:
     """Feature columns of one snapshot from its sums; NULL where the customer is unknown yet."""
-    first, last = F.col(f"{tag}_first"), F.col(f"{tag}_last")
+    # Known by then: the first purchase is the same at every later date.
+    first, last = F.when(F.col("first") <= as_of, F.col("first")), F.col(f"{tag}_last")
     orders, frequency = F.col(f"{tag}_orders"), F.col(f"{tag}_recent_orders")
     monetary = from_cents(F.col(f"{tag}_recent_cents"))
     recency, tenure = days_between(as_of, last), days_between(last, first)
@@ -79,7 +79,7 @@ def customer_features(
 ) -> DataFrame:
     """One row per customer with an order up to ``as_of``: both snapshots in one aggregation."""
     at = F.lit(as_of)
-    sums = _in_cents(orders, as_of).groupBy("customer_id").agg(*_sums(at, "now"), *_sums(F.date_sub(at, lag_days), "lag"))
+    sums = _in_cents(orders, as_of).groupBy("customer_id").agg(F.min("order_date").alias("first"), *_sums(at, "now"), *_sums(F.date_sub(at, lag_days), "lag"))
     return sums.select("customer_id", *[c.alias(n) for n, c in _labelled(at, lag_days, inactive_days).items()])
 
 
@@ -102,7 +102,7 @@ def customer_features_at(
         .withColumn("as_of_date", F.explode(F.array(*[F.lit(d) for d in dates])))
         .where(F.col("order_date") <= at)
     )
-    sums = seen.groupBy("customer_id", "as_of_date").agg(*_sums(at, "now"), *_sums(F.date_sub(at, lag_days), "lag"))
+    sums = seen.groupBy("customer_id", "as_of_date").agg(F.min("order_date").alias("first"), *_sums(at, "now"), *_sums(F.date_sub(at, lag_days), "lag"))
     return sums.select("customer_id", "as_of_date", *[c.alias(n) for n, c in _labelled(at, lag_days, inactive_days).items()])
 
 

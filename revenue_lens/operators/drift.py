@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from revenue_lens.functions.tails import chi2_tail
-from revenue_lens.operators.ranking import running_totals
+from revenue_lens.operators.ranking import running_totals, values_at_ranks
 from revenue_lens.operators.storage import materialize
 from revenue_lens.settings import DRIFT_FEATURES
 
 # Fixed values.
 BINS = 10
 PSI_EPS = 1e-6
+QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 PSI_LEVELS = [("CRITICAL", 0.25), ("WARNING", 0.15), ("CAUTION", 0.05)]
 LEVEL_ORDER = ["OK", "CAUTION", "WARNING", "CRITICAL"]
 
@@ -40,32 +41,15 @@ def both_samples(baseline: DataFrame, current: DataFrame, features: list[str] =
     return old.unionByName(stacked(current, known).withColumn("is_current", F.lit(True)))
 
 
-def quantiles(values: DataFrame, probabilities: dict[str, float]) -> DataFrame:
-    """Exact quantiles of (feature, value) rows, linear between neighbouring ranks.
+def baseline_stats(df: DataFrame, features: list[str] = DRIFT_FEATURES) -> DataFrame:
+    """Size, mean, sample deviation, range and exact quartiles per feature.
 
-    Works on counts of distinct values with a distributed running total, so neither a
-    frequent value nor a long feature ends up in one task.
+    A quartile lies between two neighbouring ranks; only those rows are searched for.
     """
-    counts = values.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(counts, "feature", "value", ["n"])
-    covers = lambda rank: (F.col("cum_n") - F.col("n") < rank) & (rank <= F.col("cum_n"))
-    found, result = [], []
-    for name, p in probabilities.items():
-        position = (F.col("all_n") - 1) * F.lit(p)
-        low, high = F.floor(position) + 1, F.ceil(position) + 1
-        found += [
-            F.max(F.when(covers(low), F.col("value"))).alias(f"{name}_low"),
-            F.max(F.when(covers(high), F.col("value"))).alias(f"{name}_high"),
-            F.max(position - F.floor(position)).alias(f"{name}_part"),
-        ]
-        step = F.col(f"{name}_high") - F.col(f"{name}_low")
-        result.append((F.col(f"{name}_low") + step * F.col(f"{name}_part")).alias(name))
-    return ranked.groupBy("feature").agg(*found).select("feature", *result)
-
-
-def baseline_stats(df: DataFrame, features: list[str] = DRIFT_FEATURES) -> DataFrame:
-    """Size, mean, sample deviation, range and quartiles per feature."""
     values = stacked(df, features)
+    position = {name: (lambda n, p=p: (n - 1) * p) for name, p in QUARTILES.items()}
+    ends = lambda n: [int(f(n)) + 1 + up for f in position.values() for up in (0, int(f(n)) + 1 < n)]
+    found = values_at_ranks(values, "feature", "value", ends)
     moments = values.groupBy("feature").agg(
         F.count("value").alias("n"),
         F.avg("value").alias("mean"),
@@ -73,7 +57,13 @@ def baseline_stats(df: DataFrame, features: list[str] = DRIFT_FEATURES) -> DataF
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    return moments.join(quantiles(values, {"q25": 0.25, "q50": 0.5, "q75": 0.75}), "feature")
+    quartiles = {name: F.lit(None).cast("double") for name in QUARTILES}
+    for feature, (n, at) in found.items():
+        for i, (name, f) in enumerate(position.items()):
+            low, high = at[2 * i], at[2 * i + 1]
+            exact = low + (high - low) * (f(n) - int(f(n)))
+            quartiles[name] = F.when(F.col("feature") == feature, exact).otherwise(quartiles[name])
+    return moments.withColumns(quartiles)
 
 
 def value_counts(df: DataFrame, features: list[str]) -> DataFrame:
@@ -103,8 +93,10 @@ def psi(samples: DataFrame) -> DataFrame:
     ranges = samples.groupBy("feature").agg(F.min("value").alias("low"), F.max("value").alias("high"))
     # One row per monitored feature, so the broadcast side is bounded by the feature list.
     binned = samples.join(F.broadcast(ranges), "feature").withColumn("bin", _bin(F.col("value"), F.col("low"), F.col("high")))
-    count = lambda i, side: F.count(F.when((F.col("bin") == i) & (F.col("is_current") == side), 1))
-    counts = binned.groupBy("feature").agg(
+    by_bin = binned.groupBy("feature", "bin", "is_current").agg(F.count(F.lit(1)).alias("n"))
+    # From here on there are at most 2 * BINS rows per feature; an empty bin has no row.
+    count = lambda i, side: F.coalesce(F.max(F.when((F.col("bin") == i) & (F.col("is_current") == side), F.col("n"))), F.lit(0))
+    counts = by_bin.groupBy("feature").agg(
         *[count(i, False).alias(f"b{i}") for i in range(BINS)], *[count(i, True).alias(f"c{i}") for i in range(BINS)]
     )
     return counts.select(

@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revenue_lens.operators.ranking import cut_points, global_ranks, part_of
+from revenue_lens.operators.ranking import closing_ranks, part_of, rows_at_ranks
 
 # Scored column per score, and the number of parts.
 SCORED = {"R_score": "recency_days", "F_score": "frequency_365d", "M_score": "monetary_365d"}
@@ -24,18 +24,13 @@ SEGMENTS = [name for name, _ in SEGMENT_RULES] + [OTHER_SEGMENT]
 def quantile_parts(customers: DataFrame, scored: dict[str, str], parts: int, key: str = "customer_id") -> DataFrame:
     """Add for each ``{score: column}`` the equal-count part of the column, ties by ``key``.
 
-    The columns are ranked together as one narrow (name, value, key) table; only the
-    closing row of each part comes back, so ``customers`` itself is not shuffled. It is
-    read twice: pass a stored table.
+    Only the closing rows of the parts are searched for, all columns together; assigning the
+    parts is then a comparison in place. ``customers`` is read several times and never
+    shuffled: pass a stored table.
     """
-    stacked = customers.select(
-        key,
-        F.inline(F.array(*[F.struct(F.lit(s).alias("score"), F.col(c).cast("double").alias("value")) for s, c in scored.items()])),
-    )
-    cuts = cut_points(global_ranks(stacked, "score", ["value", key]), "score", ["value", key], parts)
-    return customers.withColumns(
-        {s: part_of(F.col(c).cast("double"), F.col(key), cuts.get(s, {}), parts) for s, c in scored.items()}
-    )
+    cells = F.array(*[F.struct(F.lit(s).alias("score"), F.col(c).cast("double").alias("value")) for s, c in scored.items()])
+    cuts = rows_at_ranks(customers.select(key, F.inline(cells)), "score", "value", key, lambda n: closing_ranks(n, parts))
+    return customers.withColumns({s: part_of(F.col(c).cast("double"), F.col(key), cuts.get(s, [])) for s, c in scored.items()})
 
 
 def add_rfm_segments(customers: DataFrame) -> DataFrame:

@@ -3,7 +3,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from revenue_lens.operators.ranking import global_ranks, running_totals
+from revenue_lens.operators import ranking
+from revenue_lens.operators.ranking import rows_at_ranks, running_totals
 from revenue_lens.operators.rfm import add_rfm_segments, quantile_parts, top_risk_decile
 
 
@@ -48,23 +49,50 @@ def test_segment_rules(spark):
     assert found == cases
 
 
-def test_ranks_split_a_hot_value_over_several_blocks(spark, many_blocks):
-    # Two thirds of the rows share one value.
+@pytest.mark.parametrize("small", [100_000, 20])
+def test_cut_rows_inside_a_hot_value(spark, monkeypatch, small):
+    # Two thirds of the rows share one value, so most cuts fall among equal values.
+    monkeypatch.setattr(ranking, "SMALL_GROUP", small)
     df = spark.range(9000).select(
         F.lit("g").alias("g"), F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(4500)).cast("double").alias("v"), F.col("id").alias("k")
     ).repartition(7)
-    ranked = global_ranks(df, "g", ["v", "k"])
-    rows = sorted((r["v"], r["k"], r["rank"]) for r in ranked.collect())
-    assert [r[2] for r in rows] == list(range(1, 9001))
-
-
-def test_ranks_do_not_depend_on_partitions_or_row_order(spark, many_blocks):
-    df = spark.range(2000).select(F.lit(1).alias("g"), (F.col("id") * 7919 % 31).cast("double").alias("v"), F.col("id").alias("k"))
-    first = {r["k"]: r["rank"] for r in global_ranks(df, "g", ["v", "k"]).collect()}
-    spark.conf.set("spark.sql.shuffle.partitions", "1")
-    second = {r["k"]: r["rank"] for r in global_ranks(df.orderBy(F.desc("k")), "g", ["v", "k"]).collect()}
-    spark.conf.set("spark.sql.shuffle.partitions", "8")
-    assert first == second
+    ordered = sorted((r["v"], r["k"]) for r in df.collect())
+    wanted = [0, 1, 2, 1500, 1501, 4499, 7499, 7500, 7501, 8999, 9000]
+    found = rows_at_ranks(df, "g", "v", "k", lambda n: wanted)["g"]
+    assert found[0] is None
+    for rank, cut in zip(wanted[1:], found[1:]):
+        value, key = cut
+        at_or_before = [r for r in ordered if r[0] < value or (r[0] == value and (key is None or r[1] <= key))]
+        assert at_or_before == ordered[:rank]
+
+
+@pytest.mark.parametrize("small", [100_000, 50])
+@pytest.mark.parametrize("kind", ["distinct", "tied", "mixed"])
+def test_parts_against_sorting(spark, monkeypatch, small, kind):
+    monkeypatch.setattr(ranking, "SMALL_GROUP", small)
+    value = {"distinct": lambda i: i * 7919 % 1009 + i / 1009, "tied": lambda i: 5, "mixed": lambda i: i * 31 % 17}[kind]
+    df = table(spark, [value(i) for i in range(1009)])
+    ordered = sorted((value(i), i + 1) for i in range(1009))
+    expected = {key: math.ceil(5 * rank / 1009) for rank, (_, key) in enumerate(ordered, 1)}
+    assert parts(df.repartition(5)) == [expected[i + 1] for i in range(1009)]
+
+
+def test_an_approximation_that_misses_is_widened(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "SMALL_GROUP", 10)
+    original, tried = ranking._brackets, []
+
+    def narrow(rows, sizes, ranks, slack):
+        tried.append(slack)
+        return {g: [(-5.0, -4.0)] for g in sizes} if slack == 1 else original(rows, sizes, ranks, slack)
+
+    monkeypatch.setattr(ranking, "_brackets", narrow)
+    assert parts(table(spark, range(100))) == [math.ceil(5 * (i + 1) / 100) for i in range(100)]
+    assert tried == [1, 8]
+
+
+def test_missing_values_are_not_scored(spark):
+    df = table(spark, range(5)).unionByName(spark.createDataFrame([(9, None)], "customer_id long, v double"))
+    assert parts(df) == [1, 2, 3, 4, 5, None]
 
 
 def test_running_totals_over_blocks(spark, many_blocks):
