@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -177,15 +179,23 @@ def train_churn_models(rows: DataFrame, sizes: Sizes = Sizes(), seed: int = SEED
     """
     train = materialize(rows.where("NOT is_test AND w > 0"))
     test = rows.where("is_test")
-    models, params, errors, scored = {}, {}, {}, None
-    for name, fit in candidates(sizes, seed).items():
-        if names is not None and name not in names:
-            continue
+    chosen = {n: fit for n, fit in candidates(sizes, seed).items() if names is None or n in names}
+
+    def attempt(name: str):
         try:
-            models[name], params[name] = fit(train)
+            return chosen[name](train)
         except Exception as problem:  # noqa: BLE001 - a failing candidate must not stop the others
-            errors[name] = str(problem).splitlines()[0]
+            return str(problem).splitlines()[0]
+
+    # The candidates are independent; their many small jobs interleave on the cluster.
+    with ThreadPool(max(len(chosen), 1)) as pool:
+        outcomes = pool.map(inheritable_thread_target(rows.sparkSession)(attempt), chosen)
+    models, params, errors, scored = {}, {}, {}, None
+    for name, outcome in zip(chosen, outcomes):
+        if isinstance(outcome, str):
+            errors[name] = outcome
             continue
+        models[name], params[name] = outcome
         part = models[name].transform(test).select(
             F.lit(name).alias("model"), KEY, F.col(LABEL).alias("label"), positive_probability().alias("prob")
         )

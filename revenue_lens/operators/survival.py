@@ -210,7 +210,7 @@ def cox_model(
     )
 
     def evaluate(beta: np.ndarray):
-        table = _Table(_day_sums(standard, beta).orderBy("t").collect(), p)
+        table = _Table(sorted(_day_sums(standard, beta).collect(), key=lambda r: r["t"]), p)
         value, gradient, information, *rest = _efron(table, beta)
         ridge = n * penalizer
         return (value - ridge * (beta @ beta) / 2, gradient - ridge * beta, information + ridge * np.eye(p), *rest)

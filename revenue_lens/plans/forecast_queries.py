@@ -104,15 +104,16 @@ def q_drift(spark, sf_dir):
     "forecast_metrics",
     with_ctes(
         sql.SEGMENT_ORDERS, sql.weekly("w", "so", "series_key"), SPLIT, BASELINES, METRICS,
-        select="SELECT series_key, model, round(mape, 6) AS mape, round(smape, 6) AS smape, round(rmse, 4) AS rmse FROM me",
+        select="""SELECT series_key, model, CASE WHEN mape < 1e6 THEN round(mape, 6) ELSE round(mape / 1e6) * 1e6 END AS mape,
+  round(smape, 6) AS smape, round(rmse, 4) AS rmse FROM me""",
     ),
 )
 def q_forecast_metrics(spark, sf_dir):
     weeks = weekly_series(orders_by_market_segment(spark, sf_dir), "series_key")
     m = forecast_metrics(baseline_forecasts(split_series(weeks)))
-    return m.select(
-        "series_key", "model", F.round("mape", 6).alias("mape"), F.round("smape", 6).alias("smape"), F.round("rmse", 4).alias("rmse")
-    )
+    # A week without revenue makes MAPE astronomically large; show such values to the million.
+    mape = F.when(F.col("mape") < 1e6, F.round("mape", 6)).otherwise(F.round(F.col("mape") / 1e6) * 1e6)
+    return m.select("series_key", "model", mape.alias("mape"), F.round("smape", 6).alias("smape"), F.round("rmse", 4).alias("rmse"))
 
 
 @query(
@@ -191,8 +192,9 @@ STACKING = """mo AS (
   SELECT series_key, var_pop(a) AS vaa, var_pop(b) AS vbb, covar_pop(a, b) AS vab, covar_pop(a, y) AS vay, covar_pop(b, y) AS vby
   FROM (SELECT series_key, step, any_value(y_true) AS y, max(y_pred) FILTER (model = 'drift') AS a,
                max(y_pred) FILTER (model = 'seasonal_naive') AS b FROM h GROUP BY ALL) GROUP BY series_key),
-co AS (SELECT series_key, (vay * vbb - vby * vab) / (vaa * vbb - vab * vab) AS ca,
-              (vby * vaa - vay * vab) / (vaa * vbb - vab * vab) AS cb FROM mo)"""
+co AS (SELECT series_key,
+              CASE WHEN vbb = 0 THEN vay / vaa ELSE (vay * vbb - vby * vab) / (vaa * vbb - vab * vab) END AS ca,
+              CASE WHEN vbb = 0 THEN 0 ELSE (vby * vaa - vay * vab) / (vaa * vbb - vab * vab) END AS cb FROM mo)"""
 
 
 @query(
