@@ -191,3 +191,17 @@ def test_fourier_trend_learns_a_holiday():
     y = 100 + 50 * mark
     fit = fits.fourier_trend(y[:200], 30, weeks, {"custom": special})
     assert np.abs(fit.forecast - y[200:]).max() < 5
+
+
+def test_fits_run_where_the_package_is_not_installed(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    (tmp_path / "fit.bin").write_bytes(cloudpickle.dumps(lambda: fits.holt_winters(np.arange(30.0), 2).forecast.shape))
+    code = "import pickle, sys; print(pickle.load(open(sys.argv[1], 'rb'))(), 'revenue_lens' in sys.modules)"
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code, str(tmp_path / "fit.bin")], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=60)
+    assert out.stdout.split() == ["(2,)", "False"], out.stderr
