@@ -1,6 +1,6 @@
 """Importing this module registers the queries of this subpackage."""
 
-from revenue_lens.llm import toxicity  # noqa: F401
+from revenue_lens.llm import benchmark_match, line_windows, minhash, toxicity  # noqa: F401
 from revenue_lens.llm.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
