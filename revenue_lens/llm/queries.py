@@ -1,6 +1,17 @@
 """Importing this module registers the queries of this subpackage."""
 
-from revenue_lens.llm import benchmark_match, line_windows, minhash, toxicity  # noqa: F401
+from revenue_lens.llm import (  # noqa: F401
+    benchmark_match,
+    bit_sliced,
+    interpolation,
+    language,
+    line_windows,
+    minhash,
+    reply_trees,
+    source_mix,
+    toxicity,
+    warc,
+)
 from revenue_lens.llm.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
