@@ -13,11 +13,12 @@ score is the share of toxic labels (0 without labels). Repeated rows are scored
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revenue_lens.llm.catalog import id_remainder, query, table
@@ -75,6 +76,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_per_class: tuple[int, int] =
     sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"]).select("toxic", "text")
     rows = sample.mapInArrow(_feature_batches, "toxic int, features binary").collect()
     distinct = sorted({(r["toxic"], bytes(r["features"])) for r in rows})
+    del rows
     y = np.array([toxic for toxic, _ in distinct], np.float64)
     return _fit_sample([np.frombuffer(f, np.uint32) for _, f in distinct], y, prior)
 
@@ -86,15 +88,15 @@ def _logit(p: float) -> float:
 
 def _fit_sample(features: list[np.ndarray], y: np.ndarray, prior: float, passes: int = 100, alpha: float = 1.0, deviations: float = 3.0, ridge: float = 1.0) -> ToxicityModel:
     size = 2**BITS
-    rows = np.repeat(np.arange(len(y)), [len(f) for f in features])
-    ids = np.concatenate(features) if features else np.empty(0, np.uint32)
-    toxic = np.bincount(ids, weights=y[rows], minlength=size)
-    other = np.bincount(ids, weights=1 - y[rows], minlength=size)
+    toxic, other = np.zeros(size), np.zeros(size)
+    for label, ids in zip(y, features):
+        (toxic if label else other)[ids] += 1  # no id twice in a text
     ratio = np.log((toxic + alpha) / (y.sum() + 2 * alpha)) - np.log((other + alpha) / (len(y) - y.sum() + 2 * alpha))
     # A ratio within chance of 0 is noise, of which long texts have a lot.
     ratio[np.abs(ratio) < deviations * np.sqrt(1 / (toxic + alpha) + 1 / (other + alpha))] = 0
-    kept = ratio[ids] != 0
-    rows, ids = rows[kept], ids[kept]
+    features = [ids[ratio[ids] != 0] for ids in features]
+    rows = np.repeat(np.arange(len(y)), [len(ids) for ids in features])
+    ids = np.concatenate(features)
     columns, at = np.unique(ids, return_inverse=True)
     x = ratio[columns][at]
     counts = len(y)
@@ -115,24 +117,24 @@ def _fit_sample(features: list[np.ndarray], y: np.ndarray, prior: float, passes:
     return ToxicityModel(weights, float(b + _logit(prior) - _logit(y.mean())))
 
 
-def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """(doc_id, score) of every row. The broadcast model has a fixed size of 4 MB."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def score_of(spark: SparkSession, model: ToxicityModel, text: Column) -> Column:
+    """Score of a text column. The broadcast model has a fixed size of 4 MB."""
+    shared = spark.sparkContext.broadcast(model)
 
-    def run(batches):
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         weights, intercept = shared.value.weights, shared.value.intercept
         stamp = np.zeros(len(weights), np.int64)
-        for batch in batches:
+        for column in columns:
             scores = []
-            for text in batch["text"].to_pylist():
-                ids = _ngrams(text)
+            for t in column.to_pylist():
+                ids = _ngrams(t)
                 at = np.arange(len(ids))
                 stamp[ids] = at  # the last of equal n-grams counts
                 z = intercept + float(weights[ids[stamp[ids] == at]].sum(dtype=np.float64))
                 scores.append(float(1 / (1 + np.exp(-np.clip(z, -40, 40)))))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(scores, pa.float64())], ["doc_id", "score"])
+            yield pa.array(scores, pa.float64())
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id bigint, score double")
+    return F.arrow_udf(run, "double")(text.cast("string"))
 
 
 @query("op10_toxicity")
@@ -140,7 +142,7 @@ def op10_toxicity(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     remainder = id_remainder(F.col("doc_id"), 4)
     model = fit(docs.where(remainder != 2), table(spark, sf_dir, "labels").where(remainder != 2))
-    return score(docs, model).select(
+    return docs.select("doc_id", score_of(spark, model, F.col("text")).alias("score")).select(
         "doc_id",
         F.coalesce(remainder == 2, F.lit(False)).alias("held_out"),
         "score",
