@@ -22,12 +22,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revenue_lens.llm.catalog import id_remainder, query, table
+from revenue_lens.operators.storage import materialize
 
 #: Rows of each class (0, 1) to learn from, those with the smallest hashes of doc_id.
 SAMPLE_PER_CLASS = (4000, 2000)
 THRESHOLD = 0.3
 SIZES = (4, 5)
 BITS = 20
+#: Added to every count of rows; a ratio counts from so many standard deviations.
+SMOOTHING, DEVIATIONS = 1.0, 3.0
 
 
 @dataclass
@@ -58,10 +61,20 @@ def _feature_batches(batches):
         yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array(found, pa.binary())], ["toxic", "features"])
 
 
+def _count_batches(batches):
+    """(id, toxic, other): how many rows of each kind hold an n-gram, over the rows of one task."""
+    counts = np.zeros((2, 2**BITS), np.int32)
+    for batch in batches:
+        for toxic, features in zip(batch["toxic"].to_pylist(), batch["features"].to_pylist()):
+            counts[toxic, np.frombuffer(features, np.uint32)] += 1  # no id twice in a text
+    ids = np.flatnonzero(counts.any(axis=0))
+    yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (ids, counts[1, ids], counts[0, ids])], ["id", "toxic", "other"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_per_class: tuple[int, int] = SAMPLE_PER_CLASS) -> ToxicityModel:
-    """Learn from rows of ``docs`` that ``labels(doc_id, toxic)`` covers, at most
-    ``sample_per_class`` of each class; their features (a set of at most 2^20 numbers each) come to
-    the driver. Equal texts in the sample count once."""
+    """Learn from rows of ``docs`` that ``labels(doc_id, toxic)`` covers, at most ``sample_per_class`` of each
+    class. Equal texts in the sample count once. The log-count ratios are computed where the rows are; only
+    the n-grams whose ratio differs from 0 by more than chance come to the driver."""
     marked = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"))
     marked = marked.join(docs.select("doc_id").where("doc_id IS NOT NULL").distinct(), "doc_id", "left_semi")
     totals = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
@@ -73,12 +86,29 @@ def fit(docs: DataFrame, labels: DataFrame, sample_per_class: tuple[int, int] =
         some = marked.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_per_class[k])
         picked = some if picked is None else picked.unionByName(some)
     # The sample's ids are at most sum(sample_per_class) rows.
-    sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"]).select("toxic", "text")
-    rows = sample.mapInArrow(_feature_batches, "toxic int, features binary").collect()
-    distinct = sorted({(r["toxic"], bytes(r["features"])) for r in rows})
-    del rows
-    y = np.array([toxic for toxic, _ in distinct], np.float64)
-    return _fit_sample([np.frombuffer(f, np.uint32) for _, f in distinct], y, prior)
+    sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id").groupBy(F.xxhash64("text")).agg(F.max("toxic").alias("toxic"), F.first("text").alias("text"))
+    features = materialize(sample.select("toxic", "text").mapInArrow(_feature_batches, "toxic int, features binary"))
+    sizes = {r["toxic"]: r["n"] for r in features.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(sizes) < 2:
+        return ToxicityModel(np.zeros(2**BITS, np.float32), _logit(prior))
+    counts = features.mapInArrow(_count_batches, "id bigint, toxic bigint, other bigint").groupBy("id").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    share = lambda c, n: (F.col(c) + SMOOTHING) / (n + 2 * SMOOTHING)
+    ratio = F.log(share("toxic", sizes[1])) - F.log(share("other", sizes[0]))
+    # A ratio within chance of 0 is noise, of which long texts have a lot.
+    chance = DEVIATIONS * F.sqrt(1 / (F.col("toxic") + SMOOTHING) + 1 / (F.col("other") + SMOOTHING))
+    kept = counts.select("id", ratio.alias("ratio"), chance.alias("chance")).where("abs(ratio) >= chance").collect()  # at most 2^20 numbers
+    ratios = np.zeros(2**BITS)
+    ratios[[r["id"] for r in kept]] = [r["ratio"] for r in kept]
+    used = docs.sparkSession.sparkContext.broadcast(ratios != 0)
+
+    def telling(batches):
+        for batch in batches:
+            left = [np.frombuffer(f, np.uint32) for f in batch["features"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["toxic"], pa.array([ids[used.value[ids]].tobytes() for ids in left], pa.binary())], ["toxic", "features"])
+
+    rows = features.mapInArrow(telling, "toxic int, features binary").collect()
+    rows = sorted((r["toxic"], bytes(r["features"])) for r in rows)
+    return _fit_sample([np.frombuffer(f, np.uint32) for _, f in rows], np.array([toxic for toxic, _ in rows], np.float64), ratios, prior)
 
 
 def _logit(p: float) -> float:
@@ -86,15 +116,8 @@ def _logit(p: float) -> float:
     return float(np.log(p / (1 - p)))
 
 
-def _fit_sample(features: list[np.ndarray], y: np.ndarray, prior: float, passes: int = 100, alpha: float = 1.0, deviations: float = 3.0, ridge: float = 1.0) -> ToxicityModel:
+def _fit_sample(features: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, prior: float, passes: int = 100, ridge: float = 1.0) -> ToxicityModel:
     size = 2**BITS
-    toxic, other = np.zeros(size), np.zeros(size)
-    for label, ids in zip(y, features):
-        (toxic if label else other)[ids] += 1  # no id twice in a text
-    ratio = np.log((toxic + alpha) / (y.sum() + 2 * alpha)) - np.log((other + alpha) / (len(y) - y.sum() + 2 * alpha))
-    # A ratio within chance of 0 is noise, of which long texts have a lot.
-    ratio[np.abs(ratio) < deviations * np.sqrt(1 / (toxic + alpha) + 1 / (other + alpha))] = 0
-    features = [ids[ratio[ids] != 0] for ids in features]
     rows = np.repeat(np.arange(len(y)), [len(ids) for ids in features])
     ids = np.concatenate(features)
     columns, at = np.unique(ids, return_inverse=True)
