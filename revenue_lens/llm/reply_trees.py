@@ -55,15 +55,15 @@ def _jumps(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     state = nodes.join(first, "node", "left").select("node", "up", F.when(F.col("up").isNull(), 0).otherwise(1).cast("bigint").alias("hops"), F.col("score").alias("total"))
     state = materialize(state)
     levels, most, reach = [], nodes.count(), 1
-    while state.where("up IS NOT NULL").take(1) and reach <= most:
-        levels.append(state.where("up IS NOT NULL").select("node", "up"))
-        above = state.select(F.col("node").alias("a"), F.col("up").alias("a_up"), F.col("hops").alias("a_hops"), F.col("total").alias("a_total"))
-        joined = state.join(above, F.col("up") == F.col("a"), "left")
-        state = materialize(
-            joined.select("node", F.col("a_up").alias("up"), (F.col("hops") + F.coalesce("a_hops", F.lit(0))).alias("hops"), (F.col("total") + F.coalesce("a_total", F.lit(0.0))).alias("total"))
-        )
+    done, active = state.where("up IS NULL"), state.where("up IS NOT NULL")
+    while active.take(1) and reach <= most:  # messages that know their root are not joined again
+        levels.append(active.select("node", "up"))
+        above = done.unionByName(active).select(F.col("node").alias("a"), F.col("up").alias("a_up"), F.col("hops").alias("a_hops"), F.col("total").alias("a_total"))
+        joined = active.join(above, F.col("up") == F.col("a"))
+        moved = materialize(joined.select("node", F.col("a_up").alias("up"), (F.col("hops") + F.col("a_hops")).alias("hops"), (F.col("total") + F.col("a_total")).alias("total")))
+        done, active = done.unionByName(moved.where("up IS NULL")), moved.where("up IS NOT NULL")
         reach *= 2
-    return state.where("up IS NULL").select("node", "hops", "total"), levels
+    return done.select("node", "hops", "total"), levels
 
 
 def paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
