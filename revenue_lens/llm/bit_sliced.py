@@ -77,9 +77,12 @@ def _sliced(ids: np.ndarray, values: np.ndarray) -> list:
 
 
 def index(vectors: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
-    """A stored row per block of ``vectors(vec_id, embedding)``: dims, bits, ids, lows, slices."""
+    """A stored row per block of ``vectors(vec_id, embedding)``: dims, bits, ids, lows, slices. Rows are dealt
+    evenly, so that bitmaps are long however small the files are."""
     names = ["dims", "bits", "ids", "lows", "slices"]
-    return materialize(_usable(vectors).mapInArrow(_blocks_of(rows, _sliced, names), "dims bigint, bits bigint, ids binary, lows binary, slices binary"))
+    usable = materialize(_usable(vectors))
+    parts = max(1, -(-usable.count() * 20 // (rows * 19)))
+    return materialize(usable.repartition(parts).mapInArrow(_blocks_of(rows, _sliced, names), "dims bigint, bits bigint, ids binary, lows binary, slices binary"))
 
 
 def _add(total: list, slices: list, shift: int) -> None:
