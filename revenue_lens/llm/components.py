@@ -1,4 +1,4 @@
-"""Connected components of a distributed edge table, by alternating large and small stars."""
+"""Connected components of a distributed edge table: hook every node to its least neighbour, follow the hooks, contract."""
 
 from __future__ import annotations
 
@@ -8,28 +8,34 @@ from pyspark.sql import functions as F
 from revenue_lens.operators.storage import materialize
 
 
-def _checksum(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], row["h"]
+def relabelled(labels: DataFrame, later: DataFrame) -> DataFrame:
+    """``labels(node, root)`` after their roots got the roots of ``later(node, root)`` themselves."""
+    up = later.select(F.col("node").alias("from"), F.col("root").alias("to"))
+    return labels.join(up, F.col("root") == F.col("from"), "left").select("node", F.coalesce("to", "root").alias("root")).unionByName(later)
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) for every node in ``links(a, b)``; root is the smallest node reachable.
+    """(node, root) for every node of ``links(a, b)`` that is not the smallest of its component; root is the smallest.
 
-    Each round joins the edges with one minimum per node; no node's neighbours are gathered.
+    A hook points to a smaller node, so hooks form trees; following them halves their depth with each
+    join. What remains are edges between roots. No node's neighbours are gathered.
     """
-    edges = materialize(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    before = _checksum(edges)
-    while before[0]:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lowest, "a").select(F.col("b").alias("x"), "a", "m")
-        small = small.select("a", F.col("m").alias("b")).union(small.select(F.col("x").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
-        edges = materialize(small)
-        after = _checksum(edges)
-        if after == before:
+    edges = materialize(links.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).where("low <> high").distinct())
+    labels = None
+    while (n := edges.count()) or labels is None:
+        hooks = materialize(edges.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("root")))
+        only_trees = hooks.count() == n
+        while True:
+            above = hooks.select(F.col("node").alias("from"), F.col("root").alias("to"))
+            hooks = materialize(hooks.join(above, F.col("root") == F.col("from"), "left").select("node", F.coalesce("to", "root").alias("root"), F.col("to").isNotNull().alias("moved")))
+            moved = hooks.where("moved").take(1)
+            hooks = hooks.select("node", "root")
+            if not moved:
+                break
+        labels = hooks if labels is None else materialize(relabelled(labels, hooks))
+        if only_trees:
             break
-        before = after
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+        for end in ("low", "high"):
+            edges = edges.join(hooks.withColumnRenamed("node", end), end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
+        edges = materialize(edges.select(F.least("low", "high").alias("low"), F.greatest("low", "high").alias("high")).where("low <> high").distinct())
+    return labels

@@ -9,9 +9,9 @@ component is what links reach.
    documents. Equal sets become one class by a 128-bit digest of the whole set.
 2. Four bins make a band, 32 bands a document; classes that share a band are candidates. A pair at 0.75
    is in no common band with probability (1 - 0.75^4)^32 = 5e-6, at 0.8 with 5e-8.
-3. Every bucket proposes edges to one centre only. First a class is checked against the smallest of
-   its centres; then, round after round, buckets that still hold several components propose
-   other centres, until a round finds no new link.
+3. Every bucket proposes stars, never all its pairs. First a class is checked against the smallest of the
+   least classes of its buckets; then, round after round, each bucket that still holds several components
+   proposes the edges to three more centres that join different ones, until a round finds no new link.
 4. A proposed edge counts once the full sets, recomputed from the texts, confirm it.
 
 Nulls and empties: null and empty texts, or texts without words, have no shingles and are linked with
@@ -30,14 +30,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revenue_lens.llm.catalog import query, table
-from revenue_lens.llm.components import components
+from revenue_lens.llm.components import components, relabelled
 from revenue_lens.llm.text import WordHashes, byte_texts, mixed, shingle_hashes, words
 from revenue_lens.operators.storage import materialize
 
 BINS, BAND_BINS = 128, 4
 PERCENT = 75
+#: Stars that a bucket proposes in a round.
+CENTRES = 3
 #: Members checked against one copy of a centre's set.
 MEMBERS_PER_TASK = 512
+#: Bits of the filter that keeps most texts without candidates out of a shuffle: 2 MB, whatever the input.
+FILTER_BITS, BITMAP_BITS = 1 << 24, 1 << 15
 _EDGES = np.array([(k << 64) // BINS for k in range(BINS)], dtype=np.uint64)
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
@@ -90,12 +94,12 @@ def _signatures(docs: DataFrame) -> DataFrame:
 
 
 def _confirmed(edges: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of ``edges(a, b)`` those that the full sets confirm. A centre with many members is dealt, with
-    copies of its text, to several groups; within a group its text comes first."""
+    """(a, b) = (x, y) of those ``edges(a, b, x, y)`` whose full sets confirm a, b. A centre with many members is
+    dealt, with copies of its text, to several groups; within a group its text comes first."""
     group = F.xxhash64("a", F.pmod(F.xxhash64("b"), F.ceil(F.col("members") / MEMBERS_PER_TASK)))
-    counted = edges.join(edges.groupBy("a").agg(F.count(F.lit(1)).alias("members")), "a").select("a", "b", group.alias("g"))
-    roles = counted.select("a", "g", F.col("b").alias("node"), F.lit(1).alias("role")).unionByName(
-        counted.select("a", "g").distinct().select("a", "g", F.col("a").alias("node"), F.lit(0).alias("role"))
+    counted = edges.join(edges.groupBy("a").agg(F.count(F.lit(1)).alias("members")), "a").select("a", "b", "x", "y", group.alias("g"))
+    roles = counted.select("a", "g", F.col("b").alias("node"), F.lit(1).alias("role"), "x", "y").unionByName(
+        counted.select("a", "g").distinct().select("a", "g", F.col("a").alias("node"), F.lit(0).alias("role"), F.col("a").alias("x"), F.col("a").alias("y"))
     )
     sided = roles.join(texts, "node").repartition("g").sortWithinPartitions("g", "a", "role")
 
@@ -103,8 +107,8 @@ def _confirmed(edges: DataFrame, texts: DataFrame) -> DataFrame:
         cache, at, centre = WordHashes(), None, []
         for batch in batches:
             a, b = [], []
-            sides = zip(batch["a"].to_pylist(), batch["g"].to_pylist(), batch["node"].to_pylist(), batch["role"].to_pylist(), byte_texts(batch["text"]))
-            for key, g, node, role, text in sides:
+            sides = zip(*(batch[c].to_pylist() for c in ("a", "g", "role", "x", "y")), byte_texts(batch["text"]))
+            for key, g, role, x, y, text in sides:
                 s = _set_of(text, cache)
                 if at != (key, g):
                     at, centre = (key, g), []
@@ -114,12 +118,23 @@ def _confirmed(edges: DataFrame, texts: DataFrame) -> DataFrame:
                 for c in centre:
                     both = len(np.intersect1d(c, s, assume_unique=True))
                     if 100 * both >= PERCENT * (len(c) + len(s) - both):
-                        a.append(key)
-                        b.append(node)
+                        a.append(x)
+                        b.append(y)
                         break
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return sided.select("a", "g", "node", "role", "text").mapInArrow(run, "a bigint, b bigint")
+    return sided.select("a", "g", "role", "x", "y", "text").mapInArrow(run, "a bigint, b bigint")
+
+
+def _perhaps_among(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``column`` is not in ``keys``. The bitmaps are at most
+    FILTER_BITS / 8 bytes in all; the more keys, the more other rows stay."""
+    at = F.pmod(F.xxhash64(F.col(column)), F.lit(FILTER_BITS))
+    bitmap, bit = F.floor(at / BITMAP_BITS).cast("int"), (at % BITMAP_BITS).cast("bigint")
+    bits = keys.groupBy(bitmap.alias("bitmap")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    placed = rows.withColumns({"bitmap": bitmap, "bit": bit}).join(F.broadcast(bits), "bitmap")
+    byte = F.conv(F.hex(F.substring("bits", (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
+    return placed.where(F.getbit(byte, (F.col("bit") % 8).cast("int")) == 1).select(*rows.columns)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -132,22 +147,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     entries = classes.select(F.explode("bands").alias("key"), "node", "n")
     shared = entries.join(entries.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("key"), "key")
     shared = materialize(shared)
-    # A class may have an equal node as another (a doc_id with two texts): both texts then count.
-    wanted = shared.select("node").distinct()
-    texts = materialize(docs.withColumnRenamed("doc_id", "node").join(wanted, "node").dropDuplicates(["node", "text"]))
-    links, labels, turn = None, None, 0
+    wanted = materialize(shared.select("node").distinct())
+    # A doc_id with several texts is a node with several sets.
+    texts = _perhaps_among(docs.withColumnRenamed("doc_id", "node"), "node", wanted).join(wanted, "node").groupBy("node").agg(F.collect_set("text").alias("texts"))
+    texts = materialize(texts.select("node", F.explode("texts").alias("text")))
+    labels, tested, turn = None, None, 0
     while True:
         placed = shared.withColumn("root", F.col("node")) if labels is None else shared.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mark = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-        centre = placed.groupBy("key").agg(F.min(F.struct(mark.alias("mark"), "node", "n", "root")).alias("c"))
+        marks = [F.col("node")] if turn == 0 else [F.xxhash64("node", F.lit(CENTRES * turn + k)) for k in range(CENTRES)]
+        least = [F.min(F.struct(mark.alias("mark"), "node", "n", "root")) for mark in marks]
+        stars = placed.groupBy("key").agg(F.array(*least).alias("centres"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key", "centres")
         alike = F.least("n", "c.n") * 100 >= F.greatest("n", "c.n") * PERCENT
-        proposed = placed.join(centre, "key").where((F.col("root") != F.col("c.root")) & alike).select(F.col("c.node").alias("a"), F.col("node").alias("b"))
-        proposed = proposed.groupBy("b").agg(F.min("a").alias("a")).select("a", "b") if turn == 0 else proposed.distinct()
-        found = materialize(_confirmed(materialize(proposed), texts))
+        proposed = placed.join(stars, "key").withColumn("c", F.explode(F.array_distinct("centres"))).where((F.col("root") != F.col("c.root")) & alike)
+        low, high = F.least("node", "c.node"), F.greatest("node", "c.node")
+        if turn == 0:
+            proposed = proposed.groupBy(high.alias("b")).agg(F.min(low).alias("a")).select("a", "b", F.col("a").alias("x"), F.col("b").alias("y"))
+        else:
+            ends = F.struct(F.least("root", "c.root").alias("x"), F.greatest("root", "c.root").alias("y"))
+            proposed = proposed.groupBy(low.alias("a"), high.alias("b")).agg(F.min(ends).alias("e")).select("a", "b", "e.x", "e.y").join(tested, ["a", "b"], "left_anti")
+        proposed = materialize(proposed)
+        found = materialize(_confirmed(proposed, texts))
+        tested = proposed.select("a", "b") if tested is None else tested.unionByName(proposed.select("a", "b"))
         if turn and not found.take(1):
             break
-        links = found if links is None else links.unionByName(found)
-        labels = materialize(components(links))
+        new = components(found)
+        labels = new if labels is None else materialize(relabelled(labels, new))
         turn += 1
     component = classes.join(labels, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
     joined = sets.select("doc_id", "n", "digest").join(component, "digest", "left")
