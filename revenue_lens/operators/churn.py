@@ -174,10 +174,10 @@ class ChurnRun:
 def train_churn_models(rows: DataFrame, sizes: Sizes = Sizes(), seed: int = SEED, names: list[str] | None = None) -> ChurnRun:
     """Fit every candidate on the training part and score the test part.
 
-    A model that fails is recorded in ``errors`` and left out. Rows of weight 0 carry no
-    information for a weighted fit and are dropped first.
+    A model that fails is recorded in ``errors`` and left out. Rows of weight 0 do not move a
+    weighted fit, but count in the validation folds like all others.
     """
-    train = materialize(rows.where("NOT is_test AND w > 0"))
+    train = materialize(rows.where("NOT is_test"))
     test = rows.where("is_test")
     chosen = {n: fit for n, fit in candidates(sizes, seed).items() if names is None or n in names}
 
@@ -208,7 +208,7 @@ def train_churn_models(rows: DataFrame, sizes: Sizes = Sizes(), seed: int = SEED
 
 def refit(customers: DataFrame, name: str, params: dict | None, sizes: Sizes = Sizes(), seed: int = SEED) -> PipelineModel:
     """Fit the winner again on all complete rows, with its tuned parameters."""
-    rows = sample_weights(customers.select(KEY, LABEL, *CHURN_FEATURES).na.drop()).where("w > 0")
+    rows = sample_weights(customers.select(KEY, LABEL, *CHURN_FEATURES).na.drop())
     if params:
         weight = "w" if name == "boosted_by_depth" else "w_balanced"
         classifier = _boosted(

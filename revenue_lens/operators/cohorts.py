@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from revenue_lens.functions import month_index
 from revenue_lens.operators.storage import materialize
 
-# The table shows the first 12 cohorts and the first 13 existing periods.
+# The presentation table shows the first 12 cohorts and the first 13 existing periods.
 COHORTS = 12
 PERIODS = 13
 
@@ -35,8 +35,9 @@ def cohort_activity(orders: DataFrame, as_of: dt.date) -> DataFrame:
     return active.withColumn("cohort_size", size)
 
 
-def cohort_retention(orders: DataFrame, as_of: dt.date, cohorts: int = COHORTS, periods: int = PERIODS) -> DataFrame:
-    """Retention of the first cohorts in the first existing periods, one row per cell.
+def cohort_retention(orders: DataFrame, as_of: dt.date, cohorts: int | None = None, periods: int | None = None) -> DataFrame:
+    """Retention of every cohort in every existing period, one row per cell; ``cohorts`` and
+    ``periods`` keep the first ones only.
 
     Cells without orders are 0; ``is_observable`` is false where the period lies after
     ``as_of``. All windows run over cohort x period counts, bounded by the calendar.
@@ -46,13 +47,15 @@ def cohort_retention(orders: DataFrame, as_of: dt.date, cohorts: int = COHORTS,
     kept = activity.withColumns(
         {
             "cohort_rank": F.dense_rank().over(whole.orderBy("cohort")),
-            "period_rank": F.dense_rank().over(whole.orderBy("period_index")),
             "indexes": F.collect_set("period_index").over(whole),
         }
-    ).where(F.col("cohort_rank") <= cohorts)
+    )
+    if cohorts is not None:
+        kept = kept.where(F.col("cohort_rank") <= cohorts)
+    indexes = F.array_sort(F.first("indexes"))
     by_cohort = kept.groupBy("cohort", "cohort_size").agg(
         F.map_from_entries(F.collect_list(F.struct("period_index", "active"))).alias("active_in"),
-        F.slice(F.array_sort(F.first("indexes")), 1, periods).alias("indexes"),
+        (indexes if periods is None else F.slice(indexes, 1, periods)).alias("indexes"),
     )
     cells = by_cohort.select("cohort", "cohort_size", "active_in", F.explode("indexes").alias("period_index"))
     active = F.coalesce(F.element_at("active_in", F.col("period_index")), F.lit(0))
@@ -67,9 +70,9 @@ def cohort_retention(orders: DataFrame, as_of: dt.date, cohorts: int = COHORTS,
     )
 
 
-def cohort_retention_table(orders: DataFrame, as_of: dt.date) -> DataFrame:
+def cohort_retention_table(orders: DataFrame, as_of: dt.date, cohorts: int | None = None, periods: int | None = None) -> DataFrame:
     """The same cells as one row per cohort and one column ``m<period_index>`` per period."""
-    cells = materialize(cohort_retention(orders, as_of))
+    cells = materialize(cohort_retention(orders, as_of, cohorts, periods))
     shown = sorted(r[0] for r in cells.select("period_index").distinct().collect())
     return (
         cells.withColumn("period", F.concat(F.lit("m"), F.col("period_index").cast("string")))

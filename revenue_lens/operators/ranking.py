@@ -19,9 +19,6 @@ from pyspark.sql import functions as F
 
 from revenue_lens.operators.storage import materialize
 
-# Groups up to this many rows are counted by value without an approximation first.
-SMALL_GROUP = 100_000
-
 
 def _accuracy(size: int) -> int:
     """Rank error of the approximation is size / accuracy: about 100,000 rows at most."""
@@ -31,16 +28,16 @@ def _accuracy(size: int) -> int:
 def _brackets(rows: DataFrame, sizes: dict, ranks: dict, slack: int) -> dict:
     """{group: [(low, high)]} around the wanted ranks; None is an open end."""
     spans = {g: [(None, None)] for g in sizes}
-    large = {g: n for g, n in sizes.items() if n > SMALL_GROUP and ranks[g]}
-    if not large:
+    asked = {g: n for g, n in sizes.items() if ranks[g]}
+    if not asked:
         return spans
-    accuracy = _accuracy(max(large.values()))
+    accuracy = _accuracy(max(asked.values()))
     margin = slack * 3 / accuracy
-    edges = {g: [(r / n - margin, r / n + margin) for r in ranks[g]] for g, n in large.items()}
+    edges = {g: [(r / n - margin, r / n + margin) for r in ranks[g]] for g, n in asked.items()}
     shares = sorted({p for pairs in edges.values() for pair in pairs for p in pair if 0 < p < 1})
     if not shares:
         return spans
-    # One row of quantiles per large group.
+    # One row of quantiles per group.
     quantiles = rows.groupBy("group").agg(F.percentile_approx("x", [float(p) for p in shares], accuracy).alias("q"))
     found = {r["group"]: dict(zip(shares, r["q"])) for r in quantiles.collect()}
     for g, pairs in edges.items():

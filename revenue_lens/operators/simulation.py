@@ -1,4 +1,4 @@
-"""Monte Carlo profit over a hash-ordered sample of orders."""
+"""Monte Carlo profit over all orders, or over a hash-ordered sample of them."""
 
 from __future__ import annotations
 
@@ -14,7 +14,6 @@ from revenue_lens.settings import SEED
 # Log-normal cost ratio and its bounds.
 COST_MU, COST_SIGMA = -0.45, 0.15
 COST_LOW, COST_HIGH = 0.2, 0.95
-DEFAULT_ORDERS = 5000
 DEFAULT_DRAWS = 5000
 
 # Prime modulus of the pairwise-independent hash (2^31 - 1).
@@ -98,22 +97,21 @@ def monte_carlo_profit(
     orders: DataFrame,
     key: str,
     n_draws: int = DEFAULT_DRAWS,
-    n_orders: int | None = DEFAULT_ORDERS,
+    n_orders: int | None = None,
     seed: int = SEED,
 ) -> DataFrame:
-    """Simulated profit of ``n_orders`` sampled orders (None: all of them) with two margins.
+    """Simulated profit of all orders (or of ``n_orders`` sampled ones) with two margins.
 
-    ``margin_reference`` divides the profit of the sample by the revenue of all orders;
-    ``margin_sim`` by the revenue of the same sample. Both are NULL without revenue.
+    ``margin_reference`` divides the profit of the simulated orders by the revenue of all
+    orders; ``margin_sim`` by the revenue of the simulated ones. Both are NULL without revenue.
     """
+    spark = orders.sparkSession
     sample = hash_sample(orders.select(key, "revenue"), n_orders, key, seed)
-    if n_orders is not None:
-        # One small stored file; spread it, since each row becomes n_draws rows.
-        sample = sample.repartition(orders.sparkSession.sparkContext.defaultParallelism * 2, key)
+    total = _total_revenue(orders)
+    simulated = total if n_orders is None else _total_revenue(sample)
+    # Each row becomes n_draws rows: spread the narrow rows first, however few files hold them.
+    parts = max(spark.sparkContext.defaultParallelism * 2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     profit = F.col("mean_total_profit")
-    return profit_summary(simulate_draws(sample, key, n_draws, seed)).withColumns(
-        {
-            "margin_reference": F.try_divide(profit, F.lit(_total_revenue(orders))),
-            "margin_sim": F.try_divide(profit, F.lit(_total_revenue(sample))),
-        }
+    return profit_summary(simulate_draws(sample.repartition(parts, key), key, n_draws, seed)).withColumns(
+        {"margin_reference": F.try_divide(profit, F.lit(total)), "margin_sim": F.try_divide(profit, F.lit(simulated))}
     )

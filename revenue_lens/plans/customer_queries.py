@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revenue_lens.functions import heuristic_probability, risk_tier
-from revenue_lens.operators.cohorts import cohort_retention, cohort_retention_table
+from revenue_lens.operators.cohorts import COHORTS, PERIODS, cohort_retention, cohort_retention_table
 from revenue_lens.operators.customers import customer_features, customer_features_at, purchase_gaps
 from revenue_lens.operators.rfm import add_rfm_segments, segment_profile, top_risk_decile
 from revenue_lens.operators.storage import materialize
@@ -152,19 +152,20 @@ def q_top_risk_decile(spark, sf_dir):
     return top_risk_decile(scored_now(customers)).select("customer_id", "churn_probability", "risk_tier", "risk_decile")
 
 
-COHORT_CTES = f"""m AS (SELECT DISTINCT customer_id, date_trunc('month', order_date)::DATE AS month FROM o WHERE order_date <= {sql.AS_OF}),
+def _cohort_ctes(cohorts: str = "", periods: str = "") -> str:
+    return f"""m AS (SELECT DISTINCT customer_id, date_trunc('month', order_date)::DATE AS month FROM o WHERE order_date <= {sql.AS_OF}),
 c AS (SELECT customer_id, min(month) AS cohort FROM m GROUP BY customer_id),
 a AS (SELECT cohort, ((year(month) - year(cohort)) * 12 + month(month) - month(cohort))::BIGINT AS period_index,
              count(DISTINCT customer_id) AS active FROM m JOIN c USING (customer_id) GROUP BY ALL),
-z AS (SELECT cohort, count(*) AS cohort_size FROM c GROUP BY cohort ORDER BY cohort LIMIT 12),
-i AS (SELECT DISTINCT period_index FROM a ORDER BY period_index LIMIT 13),
+z AS (SELECT cohort, count(*) AS cohort_size FROM c GROUP BY cohort ORDER BY cohort {cohorts}),
+i AS (SELECT DISTINCT period_index FROM a ORDER BY period_index {periods}),
 r AS (SELECT cohort, period_index, cohort_size, coalesce(active, 0)::BIGINT AS active,
              coalesce(active, 0)::DOUBLE / cohort_size AS retention,
              (cohort + to_months(period_index::INTEGER))::DATE <= {sql.AS_OF} AS is_observable
       FROM z CROSS JOIN i LEFT JOIN a USING (cohort, period_index))"""
 
 
-@query("cohort_retention_long", with_ctes(sql.O, COHORT_CTES, select="SELECT * FROM r"))
+@query("cohort_retention_long", with_ctes(sql.O, _cohort_ctes(), select="SELECT * FROM r"))
 def q_cohort_long(spark, sf_dir):
     orders = tpch_orders(spark, sf_dir)
     return cohort_retention(orders, latest_order_date(orders))
@@ -174,12 +175,13 @@ def q_cohort_long(spark, sf_dir):
     "cohort_retention_wide",
     with_ctes(
         sql.O,
-        COHORT_CTES,
+        _cohort_ctes(f"LIMIT {COHORTS}", f"LIMIT {PERIODS}"),
         select="SELECT cohort, "
-        + ", ".join(f"max(retention) FILTER (period_index = {i}) AS m{i}" for i in range(13))
+        + ", ".join(f"max(retention) FILTER (period_index = {i}) AS m{i}" for i in range(PERIODS))
         + " FROM r GROUP BY cohort",
     ),
 )
 def q_cohort_wide(spark, sf_dir):
+    """The presentation table; the whole of it is `cohort_retention_long`."""
     orders = tpch_orders(spark, sf_dir)
-    return cohort_retention_table(orders, latest_order_date(orders))
+    return cohort_retention_table(orders, latest_order_date(orders), COHORTS, PERIODS)

@@ -17,6 +17,7 @@ from revenue_lens.operators.forecasting import (
 from revenue_lens.operators.storage import materialize
 from revenue_lens.plans import sql_parts as sql
 from revenue_lens.plans.catalog import query, with_ctes
+from revenue_lens.settings import EPS
 from revenue_lens.sources.orders import orders_by_market_segment, orders_by_nation
 
 
@@ -104,16 +105,19 @@ def q_drift(spark, sf_dir):
     "forecast_metrics",
     with_ctes(
         sql.SEGMENT_ORDERS, sql.weekly("w", "so", "series_key"), SPLIT, BASELINES, METRICS,
-        select="""SELECT series_key, model, CASE WHEN mape < 1e6 THEN round(mape, 6) ELSE round(mape / 1e6) * 1e6 END AS mape,
-  round(smape, 6) AS smape, round(rmse, 4) AS rmse FROM me""",
+        "z AS (SELECT series_key, model, bool_or(abs(y_true) < 1e-9) AS mape_floored FROM h GROUP BY ALL)",
+        select="""SELECT series_key, model, CASE WHEN NOT mape_floored THEN round(mape, 6) END AS mape, mape_floored,
+  round(smape, 6) AS smape, round(rmse, 4) AS rmse FROM me JOIN z USING (series_key, model)""",
     ),
 )
 def q_forecast_metrics(spark, sf_dir):
+    """MAPE is NULL, with a flag, where a week without revenue leaves nothing to divide by."""
     weeks = weekly_series(orders_by_market_segment(spark, sf_dir), "series_key")
-    m = forecast_metrics(baseline_forecasts(split_series(weeks)))
-    # A week without revenue makes MAPE astronomically large; show such values to the million.
-    mape = F.when(F.col("mape") < 1e6, F.round("mape", 6)).otherwise(F.round(F.col("mape") / 1e6) * 1e6)
-    return m.select("series_key", "model", mape.alias("mape"), F.round("smape", 6).alias("smape"), F.round("rmse", 4).alias("rmse"))
+    forecasts = materialize(baseline_forecasts(split_series(weeks)))
+    floored = forecasts.where("step >= 1").groupBy("series_key", "model").agg(F.bool_or(F.abs("y_true") < EPS).alias("mape_floored"))
+    m = forecast_metrics(forecasts).join(floored, ["series_key", "model"])
+    mape = F.when(~F.col("mape_floored"), F.round("mape", 6)).alias("mape")
+    return m.select("series_key", "model", mape, "mape_floored", F.round("smape", 6).alias("smape"), F.round("rmse", 4).alias("rmse"))
 
 
 @query(

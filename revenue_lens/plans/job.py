@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from revenue_lens.operators import alerts, attribution, churn, drift, segments, survival
 from revenue_lens.operators.accuracy import forecast_metrics, holdout_residuals
 from revenue_lens.operators.blending import BLEND, blend, member_weights, with_scenarios
-from revenue_lens.operators.cohorts import cohort_retention, cohort_retention_table
+from revenue_lens.operators.cohorts import COHORTS, PERIODS, cohort_retention, cohort_retention_table
 from revenue_lens.operators.customers import customer_features
 from revenue_lens.operators.forecasting import all_forecasts, best_model, extend_series, forecast_comparison, split_series, weekly_series
 from revenue_lens.operators.ranking_metrics import calibration, leaderboard
 from revenue_lens.operators.regression import profit_drivers
-from revenue_lens.operators.rfm import add_rfm_segments, segment_profile, top_risk_decile
-from revenue_lens.operators.simulation import DEFAULT_DRAWS, DEFAULT_ORDERS, monte_carlo_profit
+from revenue_lens.operators.rfm import add_rfm_segments, segment_profile
+from revenue_lens.operators.simulation import DEFAULT_DRAWS, monte_carlo_profit
 from revenue_lens.operators.storage import materialize
 from revenue_lens.plans.model_queries import kpi_table
 from revenue_lens.settings import CHURN_FEATURES, FEATURE_LAG_DAYS, HOLDOUT_WEEKS, HORIZON_WEEKS, SEED
@@ -34,7 +34,7 @@ def run(
     baseline: DataFrame | None = None,
     sizes: churn.Sizes = churn.Sizes(),
     n_draws: int = DEFAULT_DRAWS,
-    n_orders: int | None = DEFAULT_ORDERS,
+    n_orders: int | None = None,
     n_init: int = 10,
     seed: int = SEED,
 ) -> None:
@@ -43,7 +43,8 @@ def run(
     The customer table and the weekly series are written once and feed everything below
     them. ``baseline`` is an earlier customer table for the drift check; without it the one
     saved by the previous run is used, and the first run only saves it. ``order_key`` names a
-    unique order column for the simulation's sample; without one the row content is the key.
+    unique order column that seeds the simulated draws; without one the orders are numbered once
+    and stored, so that equal orders draw independently.
     """
     spark = orders.sparkSession
     as_of = as_of or latest_order_date(orders)
@@ -110,15 +111,14 @@ def run(
         model,
         "churn_best",
         best,
-        metrics={"auc_roc": best_metrics["auc_roc"], "pr_auc": best_metrics["pr_auc"]},
+        # A holdout of one class has neither.
+        metrics={k: best_metrics[k] for k in ("auc_roc", "pr_auc") if best_metrics[k] is not None},
         hyperparams=result.params[best],
         dataset_hash=dataset_fingerprint(complete),
     )
 
-    # Who is at risk, and why.
-    risky = top_risk_decile(scores.withColumnRenamed("churn_prob", "churn_probability"))
-    explained = complete.join(risky.select("customer_id"), "customer_id", "left_semi")
-    shapley = materialize(attribution.shapley_values(model, explained, complete, seed=seed))
+    # Who is at risk, and why: every customer is explained.
+    shapley = materialize(attribution.shapley_values(model, complete, complete, seed=seed))
     exports.write_csv(attribution.top_drivers(shapley), f"{tables}/top_drivers")
     exports.write_csv(attribution.global_importance(shapley), f"{tables}/feature_importance")
 
@@ -133,11 +133,11 @@ def run(
     metrics_log.write_metrics(metrics_log.metric_rows(spark, {"notes": cox["status"], "ph_test_p": ph_p}), out_dir, "survival")
     drivers = materialize(profit_drivers(customers))
     metrics_log.write_metrics(drivers, out_dir, "profit_regression")
-    keyed = orders if order_key else orders.withColumn("_order", F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in orders.columns])))
-    profit = materialize(monte_carlo_profit(keyed, order_key or "_order", n_draws, n_orders, seed))
+    keyed = orders if order_key else materialize(orders.select("revenue", F.monotonically_increasing_id().alias("_order")))
+    profit =materialize(monte_carlo_profit(keyed, order_key or "_order", n_draws, n_orders, seed))
     metrics_log.write_metrics(profit, out_dir, "monte_carlo_orders")
     exports.write_csv(cohort_retention(orders, as_of), f"{tables}/cohort_retention_long")
-    exports.write_csv(cohort_retention_table(orders, as_of), f"{tables}/cohort_retention")
+    exports.write_csv(cohort_retention_table(orders, as_of, COHORTS, PERIODS), f"{tables}/cohort_retention")
 
     # Alerts.
     metric_tables += [

@@ -225,14 +225,9 @@ def q_request_validation(spark, sf_dir):
     return with_reject_reason(requests).select("customer_id", "reject_reason")
 
 
-# Model sizes of the registered model queries: fewer boosting rounds than the library
-# default, because each round is several Spark jobs. Data and folds are complete.
-QUERY_SIZES = churn.Sizes(boosting_rounds=20, tuned_rounds=10, forest_trees=50)
-
-
 def churn_run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, churn.ChurnRun]:
     customers = features_now(spark, sf_dir)
-    return customers, churn.train_churn_models(churn.training_rows(customers), QUERY_SIZES)
+    return customers, churn.train_churn_models(churn.training_rows(customers))
 
 
 @query("churn_leaderboard")
@@ -243,7 +238,7 @@ def q_churn_leaderboard(spark, sf_dir):
 @query("churn_scores")
 def q_churn_scores(spark, sf_dir):
     customers, run = churn_run(spark, sf_dir)
-    model = churn.refit(customers, run.best, run.params[run.best], QUERY_SIZES)
+    model = churn.refit(customers, run.best, run.params[run.best])
     return churn.score(model, customers)
 
 
@@ -251,7 +246,7 @@ def q_churn_scores(spark, sf_dir):
 def q_shap_values(spark, sf_dir):
     """Every customer explained, for the boosted model."""
     customers = features_now(spark, sf_dir)
-    model = churn.refit(customers, "hist_gradient_boosting", None, QUERY_SIZES)
+    model = churn.refit(customers, "hist_gradient_boosting", None)
     return attribution.shapley_values(model, customers, customers)
 
 

@@ -42,15 +42,16 @@ def read_orders(
     location: str,
     source: str = "parquet",
     columns: dict[str, str] | None = None,
+    keep: list[str] | None = None,
     **options: str,
 ) -> DataFrame:
-    """Orders from Parquet, ORC, CSV, JSON or a catalog table (``source="table"``)."""
+    """Orders from Parquet, ORC, CSV, JSON or a catalog table (``source="table"``); ``keep`` passes further columns."""
     if source == "table":
-        return as_orders(spark.table(location), columns)
+        return as_orders(spark.table(location), columns, keep)
     reader = spark.read.format(source).options(**options)
     if source == "csv":
         reader = reader.option("header", options.get("header", "true"))
-    return as_orders(reader.load(location), columns)
+    return as_orders(reader.load(location), columns, keep)
 
 
 def tpch_orders(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:

@@ -49,10 +49,8 @@ def test_segment_rules(spark):
     assert found == cases
 
 
-@pytest.mark.parametrize("small", [100_000, 20])
-def test_cut_rows_inside_a_hot_value(spark, monkeypatch, small):
+def test_cut_rows_inside_a_hot_value(spark):
     # Two thirds of the rows share one value, so most cuts fall among equal values.
-    monkeypatch.setattr(ranking, "SMALL_GROUP", small)
     df = spark.range(9000).select(
         F.lit("g").alias("g"), F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(4500)).cast("double").alias("v"), F.col("id").alias("k")
     ).repartition(7)
@@ -66,10 +64,8 @@ def test_cut_rows_inside_a_hot_value(spark, monkeypatch, small):
         assert at_or_before == ordered[:rank]
 
 
-@pytest.mark.parametrize("small", [100_000, 50])
 @pytest.mark.parametrize("kind", ["distinct", "tied", "mixed"])
-def test_parts_against_sorting(spark, monkeypatch, small, kind):
-    monkeypatch.setattr(ranking, "SMALL_GROUP", small)
+def test_parts_against_sorting(spark, kind):
     value = {"distinct": lambda i: i * 7919 % 1009 + i / 1009, "tied": lambda i: 5, "mixed": lambda i: i * 31 % 17}[kind]
     df = table(spark, [value(i) for i in range(1009)])
     ordered = sorted((value(i), i + 1) for i in range(1009))
@@ -78,7 +74,6 @@ def test_parts_against_sorting(spark, monkeypatch, small, kind):
 
 
 def test_an_approximation_that_misses_is_widened(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "SMALL_GROUP", 10)
     original, tried = ranking._brackets, []
 
     def narrow(rows, sizes, ranks, slack):
