@@ -15,6 +15,8 @@ own; rows with the query's vec_id are never its answers. Components of 2^20 and
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -25,7 +27,8 @@ from revenue_lens.operators.storage import materialize
 
 SCALE = 256.0
 TOP = 5
-BLOCK_ROWS = 8192
+#: A block of the index: long bitmaps, so that each bitmap operation does much work, of bounded memory.
+BLOCK_ROWS, BLOCK_VALUES = 32768, 1 << 22
 QUERIES_PER_BLOCK = 256
 LIMIT = 2.0**20
 
@@ -37,7 +40,8 @@ def _usable(vectors: DataFrame) -> DataFrame:
 
 
 def _blocks_of(rows: int, pack, names: list[str]):
-    """A mapInArrow function: vectors of one length, ``rows`` at a time, through ``pack(ids, values)``."""
+    """A mapInArrow function: vectors of one length, ``rows`` at a time (fewer if they are long), through
+    ``pack(ids, values)``."""
 
     def run(batches):
         waiting: dict[int, tuple[list, list]] = {}
@@ -49,7 +53,7 @@ def _blocks_of(rows: int, pack, names: list[str]):
                 ids, vectors = waiting.setdefault(len(x), ([], []))
                 ids.append(key)
                 vectors.append(np.floor(SCALE * x).astype(np.int64))
-                if len(ids) == rows:
+                if len(ids) >= min(rows, max(64, BLOCK_VALUES // len(x))):
                     yield _row(pack(np.array(ids, np.int64), np.array(vectors)), names)
                     del waiting[len(x)]
         for ids, vectors in waiting.values():
@@ -81,7 +85,9 @@ def index(vectors: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
     evenly, so that bitmaps are long however small the files are."""
     names = ["dims", "bits", "ids", "lows", "slices"]
     usable = materialize(_usable(vectors))
-    parts = max(1, -(-usable.count() * 20 // (rows * 19)))
+    room = F.least(F.lit(rows), F.greatest(F.lit(64), F.floor(BLOCK_VALUES / F.size("vec"))))
+    blocks = usable.agg(F.coalesce(F.sum(1 / room), F.lit(0.0))).first()[0]
+    parts = max(1, math.ceil(blocks * 20 / 19))
     return materialize(usable.repartition(parts).mapInArrow(_blocks_of(rows, _sliced, names), "dims bigint, bits bigint, ids binary, lows binary, slices binary"))
 
 
