@@ -2,8 +2,8 @@
 
 Components become whole numbers floor(256 * x). The index holds, for every block of rows and every dimension,
 one bitmap per bit (slice) of the component above the block's least value of it. A query adds up the slices of
-its dimensions, each shifted by the bits of the query's weight, with bitmap arithmetic (full
-adders on whole bitmaps); negative weights use the complement. The sum is a bit-sliced number per row:
+its dimensions, each shifted by the signed digits of the query's weight, with bitmap arithmetic (full
+adders on whole bitmaps); negative digits use the complement. The sum is a bit-sliced number per row:
 from its most significant slice downwards the rows that can still be among the best k are told apart,
 and ties at the boundary go to the smaller vec_id. Blocks propose their best k of each query; the best k
 of those are the result.
@@ -112,18 +112,20 @@ def _add(total: list, slices: list, shift: int) -> None:
 
 
 def weighted_sum(weights: np.ndarray, slices: np.ndarray) -> tuple[list, int]:
-    """Slices of sum |w| * (u or its complement), and what to add for the sum of w * u; (dimension, bit, words)."""
+    """Slices of the sum of w * u up to a constant, and that constant; (dimension, bit, words). Weights are taken in
+    signed digits, no two neighbours of which are set: a digit of -1 adds the complement, -u = (top - u) - top."""
     total: list = []
     constant, top = 0, (1 << slices.shape[1]) - 1
     inverse = ~slices
     for w, plain, flipped in zip(weights.tolist(), slices, inverse):
-        if w < 0:
-            constant += w * top  # w * u = |w| * (top - u) + w * top
-        used = list(plain if w >= 0 else flipped)
-        size, bit = abs(w), 0
-        while size >> bit:
-            if size >> bit & 1:
-                _add(total, used, bit)
+        bit = 0
+        while w:
+            if w & 1:
+                digit = 2 - (w & 3)
+                _add(total, list(plain if digit > 0 else flipped), bit)
+                constant -= top << bit if digit < 0 else 0
+                w -= digit
+            w >>= 1
             bit += 1
     return total, constant
 
