@@ -98,6 +98,7 @@ def _confirmed(edges: DataFrame, texts: DataFrame) -> DataFrame:
     dealt, with copies of its text, to several groups; within a group its text comes first."""
     group = F.xxhash64("a", F.pmod(F.xxhash64("b"), F.ceil(F.col("members") / MEMBERS_PER_TASK)))
     counted = edges.join(edges.groupBy("a").agg(F.count(F.lit(1)).alias("members")), "a").select("a", "b", "x", "y", group.alias("g"))
+    counted = materialize(counted)  # both roles read it
     roles = counted.select("a", "g", F.col("b").alias("node"), F.lit(1).alias("role"), "x", "y").unionByName(
         counted.select("a", "g").distinct().select("a", "g", F.col("a").alias("node"), F.lit(0).alias("role"), F.col("a").alias("x"), F.col("a").alias("y"))
     )
