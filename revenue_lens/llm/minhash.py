@@ -102,6 +102,7 @@ def _confirmed(edges: DataFrame, texts: DataFrame) -> DataFrame:
     roles = counted.select("a", "g", F.col("b").alias("node"), F.lit(1).alias("role"), "x", "y").unionByName(
         counted.select("a", "g").distinct().select("a", "g", F.col("a").alias("node"), F.lit(0).alias("role"), F.col("a").alias("x"), F.col("a").alias("y"))
     )
+    texts = _perhaps_among(texts, "node", roles.select("node"))
     sided = roles.join(texts, "node").repartition("g").sortWithinPartitions("g", "a", "role")
 
     def run(batches):
