@@ -12,7 +12,10 @@ component is what links reach.
 3. Every bucket proposes stars, never all its pairs. First a class is checked against the smallest of the
    least classes of its buckets; then, round after round, each bucket that still holds several components
    proposes the edges to three more centres that join different ones, until a round finds no new link.
-4. A proposed edge counts once the full sets, recomputed from the texts, confirm it.
+4. A bucket of more members than centres and one may still hold untested pairs of different components. Its
+   members are joined by their rarest shingles (prefix filter with bounds of position and size), which misses no
+   pair at 0.75: what is left is linked, in one component, or ruled out.
+5. A proposed edge counts once the full sets, recomputed from the texts, confirm it.
 
 Nulls and empties: null and empty texts, or texts without words, have no shingles and are linked with
 nothing. Rows without a doc_id keep their count, have a null component and are kept. Rows that
@@ -42,6 +45,11 @@ CENTRES = 3
 MEMBERS_PER_TASK = 512
 #: Bits of the filter that keeps most texts without candidates out of a shuffle: 2 MB, whatever the input.
 FILTER_BITS, BITMAP_BITS = 1 << 24, 1 << 15
+#: Counters by which shingles are called rare: 8 MB, whatever the input. Shingles that share one count together,
+#: which changes the work but not the result.
+COUNTERS = 1 << 20
+#: Blocks of set sizes: one for each factor of e^(1/16). Members of one cell of a prefix join, each side.
+BLOCKS_PER_E, CELL = 16, 512
 _EDGES = np.array([(k << 64) // BINS for k in range(BINS)], dtype=np.uint64)
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
@@ -128,6 +136,91 @@ def _confirmed(edges: DataFrame, texts: DataFrame) -> DataFrame:
     return sided.select("a", "g", "role", "x", "y", "text").mapInArrow(run, "a bigint, b bigint")
 
 
+def _shingle_counts(sets: DataFrame) -> np.ndarray:
+    """How often a counter's shingles occur in the texts of ``sets(node, text)``."""
+
+    def run(batches):
+        cache, counts = WordHashes(), np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for text in byte_texts(batch["text"]):
+                counts[(_set_of(text, cache) % np.uint64(COUNTERS)).astype(np.int64)] += 1
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["at", "n"])
+
+    # A row per counter at most.
+    found = sets.select("text").mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[found["at"].to_numpy()] = found["n"].to_numpy()
+    return counts
+
+
+def _reach(n, position):
+    """The largest set that can be alike with one of ``n`` shingles whose first common one is at ``position``: all common
+    ones are then among the last n - position, and (100 + PERCENT) * common >= PERCENT * (n + m)."""
+    return (100 * n - (100 + PERCENT) * position) // PERCENT
+
+
+def _prefixes(sets: DataFrame) -> DataFrame:
+    """(shingle, block, probe, node, n, reach): the rarest shingles of ``sets(node, text)``. The smaller set of a pair
+    looks (probe 0) in all blocks of sizes that it reaches; the larger is found (probe 1) in its own."""
+    shared = sets.sparkSession.sparkContext.broadcast(_shingle_counts(sets))
+
+    def run(batches):
+        cache, counts = WordHashes(), shared.value
+        block = lambda n: np.floor(np.log(n) * BLOCKS_PER_E).astype(np.int64)
+        for batch in batches:
+            parts = []
+            for node, text in zip(batch["node"].to_pylist(), byte_texts(batch["text"])):
+                s = _set_of(text, cache)
+                n = len(s)
+                if not n:
+                    continue
+                s = s[np.lexsort((s, counts[(s % np.uint64(COUNTERS)).astype(np.int64)]))]
+                reach = _reach(n, np.arange(n, dtype=np.int64))
+                first, last = int((reach >= n).sum()), int((100 * reach >= PERCENT * n).sum())
+                own = block(np.array([n]))[0]
+                copies = block(reach[:first]) - own + 1
+                at = np.repeat(np.arange(first), copies)
+                blocks = own + np.arange(len(at)) - np.repeat(np.cumsum(copies) - copies, copies)
+                at, blocks = np.append(at, np.arange(last)), np.append(blocks, np.full(last, own))
+                probe = np.arange(len(at)) >= len(at) - last
+                parts.append((s[at].view(np.int64), blocks, probe.astype(np.int64), np.full(len(at), node), np.full(len(at), n), reach[at]))
+            if parts:
+                columns = [pa.array(np.concatenate(c).astype(np.int64), pa.int64()) for c in zip(*parts)]
+                yield pa.RecordBatch.from_arrays(columns, ["shingle", "block", "probe", "node", "n", "reach"])
+
+    return sets.select("node", "text").mapInArrow(run, "shingle bigint, block bigint, probe bigint, node bigint, n bigint, reach bigint")
+
+
+def _by_rare_shingles(texts: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b, x, y): pairs a < b of different components x, y, every one at PERCENT among them, of the nodes of
+    ``labels(node, root)``. Of a group by shingle and size the members of its largest component meet only the others;
+    large groups are dealt to cells of both sides."""
+    sets = materialize(texts.join(labels.select("node"), "node"))
+    entries = materialize(_prefixes(sets).join(labels, "node"))
+    per_root = entries.groupBy("shingle", "block", "root").agg(F.sum(1 - F.col("probe")).alias("i"), F.sum("probe").alias("p"))
+    groups = per_root.groupBy("shingle", "block").agg(F.max(F.struct((F.col("i") + F.col("p")).alias("size"), "root", "i", "p")).alias("big"), F.sum("i").alias("i"), F.sum("p").alias("p"))
+    others, rest = F.col("i") - F.col("big.i"), F.col("p") - F.col("big.p")
+    pieces = lambda size: F.greatest(F.ceil(size / CELL), F.lit(1))
+    # part 0: other components look at all; part 1: the largest component looks at the others.
+    groups = groups.where(((others > 0) & (F.col("p") > 0)) | ((F.col("big.i") > 0) & (rest > 0)))
+    groups = groups.select("shingle", "block", F.col("big.root").alias("big"), F.array(pieces(others), pieces(F.col("big.i"))).alias("rows"), F.array(pieces(F.col("p")), pieces(rest)).alias("columns"))
+    met = materialize(entries.join(groups, ["shingle", "block"]))
+    mine, cell = F.col("root") == F.col("big"), lambda size: F.pmod(F.xxhash64("node"), size)
+    every = lambda size: F.explode(F.sequence(F.lit(0).cast("bigint"), size - 1))
+    keys = ["shingle", "block", "part", "row", "column"]
+    look = met.where("probe = 0").withColumn("part", mine.cast("int"))
+    look = look.withColumn("row", cell(F.get("rows", F.col("part")))).withColumn("column", every(F.get("columns", F.col("part"))))
+    seen = met.where("probe = 1").withColumn("part", F.explode(F.when(mine, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))))
+    seen = seen.withColumn("column", cell(F.get("columns", F.col("part")))).withColumn("row", every(F.get("rows", F.col("part"))))
+    look = look.select(*keys, "node", "n", "reach", "root")
+    seen = seen.select(*keys, *[F.col(c).alias(f"other_{c}") for c in ("node", "n", "reach", "root")])
+    fits = (F.col("n") <= F.col("other_n")) & (F.col("other_n") <= F.col("reach")) & (F.col("n") <= F.col("other_reach")) & (F.col("root") != F.col("other_root"))
+    ends = F.struct(F.least("root", "other_root").alias("x"), F.greatest("root", "other_root").alias("y"))
+    pairs = look.join(seen, keys).where(fits).groupBy(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b"))
+    return pairs.agg(F.min(ends).alias("e")).select("a", "b", "e.x", "e.y")
+
+
 def _perhaps_among(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     """``rows`` without most of those whose ``column`` is not in ``keys``. The bitmaps are at most
     FILTER_BITS / 8 bytes in all; the more keys, the more other rows stay."""
@@ -175,6 +268,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         new = components(found)
         labels = new if labels is None else materialize(relabelled(labels, new))
         turn += 1
+    # Buckets of more members have pairs without a centre.
+    several = placed.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("low"), F.max("root").alias("high")).where((F.col("members") > CENTRES + 1) & (F.col("low") != F.col("high")))
+    open_nodes = materialize(placed.join(several.select("key"), "key").select("node", "root").distinct())
+    if open_nodes.take(1):
+        proposed = materialize(_by_rare_shingles(texts, open_nodes).join(tested, ["a", "b"], "left_anti"))
+        labels = materialize(relabelled(labels, components(materialize(_confirmed(proposed, texts)))))
     component = classes.join(labels, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
     joined = sets.select("doc_id", "n", "digest").join(component, "digest", "left")
     mine = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))

@@ -52,6 +52,37 @@ def test_minhash_equals_all_pairs(make_docs):
     assert all(r["kept"] == (r["component_id"] in (None, r["doc_id"])) for r in found) and len(found) == len(rows) + 1
 
 
+def test_minhash_links_the_two_with_short_tails_behind_one_passage(make_docs):
+    # Every common bucket of the two holds many documents, which are not linked to each other.
+    passage = " ".join(prose(11, 100))
+    tails = {key: 12 if key in (131, 257) else 28 + key % 9 for key in range(300)}
+    rows = [(key, f"{passage} " + " ".join(f"t{key}x{k}" for k in range(n))) for key, n in tails.items()]
+    found = minhash.near_duplicates(make_docs(rows)).collect()
+    want = components(rows)
+    assert want[257][1] == 131 and len({c for _, c in want.values()}) == 299
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
+
+
+def test_minhash_prefix_join_equals_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "CELL", 3)
+    base = prose(12, 60)
+    rows = []
+    for key in range(60):
+        r = random.Random(key)
+        w = [f"y{key}{k}" if r.random() < key % 5 / 60 else x for k, x in enumerate(base[: 40 + key % 4 * 5])]
+        rows.append((key, " ".join(w), key // 7))
+    sets = {key: set(shingles(text)) for key, text, _ in rows}
+    root = {key: r for key, _, r in rows}
+    alike = lambda a, b: 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    want = {(a, b) for a in sets for b in sets if a < b and root[a] != root[b] and alike(a, b)}
+    texts = spark.createDataFrame([r[:2] for r in rows], "node bigint, text string")
+    labels = spark.createDataFrame([(key, r) for key, r in root.items()], "node bigint, root bigint")
+    found = minhash._by_rare_shingles(texts, labels).collect()
+    assert want and want <= {(r["a"], r["b"]) for r in found}
+    assert all(r["a"] < r["b"] and r["x"] < r["y"] and {r["x"], r["y"]} == {root[r["a"]], root[r["b"]]} for r in found)
+    assert len({(r["a"], r["b"]) for r in found}) == len(found)
+
+
 def test_minhash_of_an_empty_table(make_docs):
     assert minhash.near_duplicates(make_docs([])).collect() == []
 
