@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import re
 from math import factorial
 
 from pyspark.ml import PipelineModel
@@ -11,10 +13,12 @@ from pyspark.sql import functions as F
 
 from revenue_lens.functions import hash_uniform
 from revenue_lens.functions.scoring import HEURISTIC_WEIGHTS
+from revenue_lens.operators.storage import materialize
 from revenue_lens.settings import CHURN_FEATURES, SEED
 
 TOP_FEATURES = 5
-BACKGROUND_ROWS = 50
+#: Rows of both sides that meet in one cell.
+CELL = 256
 
 
 def linear_attribution(customers: DataFrame, weights: dict[str, float] = HEURISTIC_WEIGHTS, key: str = "customer_id") -> DataFrame:
@@ -34,45 +38,86 @@ def coalition_weights(n: int) -> list[list[float]]:
     return table
 
 
+def _cuts(model: PipelineModel, features: list[str]) -> list[list[float]] | None:
+    """Sorted split values of each feature of a tree model; None for other models."""
+    last = model.stages[-1]
+    if len(model.stages) != 2 or not hasattr(last, "trees") or list(model.stages[0].getInputCols()) != features:
+        return None
+    found: list[set[float]] = [set() for _ in features]
+    for j, cut in re.findall(r"If \(feature (\d+) <= (\S+)\)", last.toDebugString):
+        found[int(j)].add(float(cut))
+    return [sorted(x) for x in found]
+
+
+def _points(rows: DataFrame, features: list[str], cuts: list[list[float]] | None) -> DataFrame:
+    """``rows`` with _x0, _x1, ...: the features, for a tree model the least split value that is not below (or one above
+    all), which every split sends the same way."""
+    values = [F.col(f).cast("double") for f in features]
+    if cuts is not None:
+        not_below = lambda v, c: F.get(F.filter(F.array(*map(F.lit, c)), lambda cut: cut >= v), 0)
+        least = [not_below(v, c) if c else F.lit(None) for v, c in zip(values, cuts)]
+        above = [F.lit(math.nextafter(c[-1], math.inf) if c else 0.0) for c in cuts]
+        values = [F.when(v.isNotNull(), F.coalesce(x, top)) for v, x, top in zip(values, least, above)]
+    return rows.withColumns({f"_x{j}": v for j, v in enumerate(values)})
+
+
 def shapley_values(
     model: PipelineModel,
     rows: DataFrame,
     background: DataFrame,
     features: list[str] = CHURN_FEATURES,
     key: str = "customer_id",
-    background_rows: int = BACKGROUND_ROWS,
+    background_rows: int | None = None,
     seed: int = SEED,
 ) -> DataFrame:
     """Exact interventional Shapley values of the positive-class probability.
 
-    Every row is scored under all 2^n coalitions against a fixed background: coalition
-    members keep the row's value, the others take the background's. The sums of one row
-    combine on the map side, so the shuffle carries one row per explained row. phi sums to
-    ``prediction - base``.
+    Every row is scored under all 2^n coalitions against all rows of ``background`` (or
+    ``background_rows`` of them, by a hash of the key): coalition members keep the row's value, the
+    others take the background's. Of a coalition only distinct values of its members meet distinct
+    values of the others, which carry their counts; values that no split of a tree model tells apart
+    are one. The sums of a coalition combine on the map side. phi sums to ``prediction - base``.
+
+    With trees the work is bounded by the product of the split counts; other models score, in the
+    worst case, every row against every background row.
     """
     n = len(features)
-    # The background is the operator's own parameter and small by definition.
-    chosen = background.select(key, *features).orderBy(hash_uniform(seed, "background", F.col(key)), key).limit(background_rows).collect()
-    points = F.array(*[F.struct(*[F.lit(float(r[f])).alias(f"_b{j}") for j, f in enumerate(features)]) for r in chosen])
-    masks = F.array(*[
-        F.struct(F.lit(mask).alias("_mask"), *[F.lit(c).alias(f"_c{j}") for j, c in enumerate(factors)])
-        for mask, factors in enumerate(coalition_weights(n))
-    ])
-    spread = rows.select(key, *[F.col(f).cast("double").alias(f"_x{j}") for j, f in enumerate(features)])
-    spread = spread.select("*", F.inline(masks)).select("*", F.inline(points))
-    mixed = spread.select(
-        key,
-        "_mask",
-        *[f"_c{j}" for j in range(n)],
-        *[F.when(F.col("_mask").bitwiseAND(1 << j) != 0, F.col(f"_x{j}")).otherwise(F.col(f"_b{j}")).alias(f) for j, f in enumerate(features)],
+    if background_rows is not None:
+        background = background.orderBy(hash_uniform(seed, "background", F.col(key)), key).limit(background_rows)
+    cuts, xs = _cuts(model, features), [f"_x{j}" for j in range(n)]
+    placed = materialize(_points(rows.select(key, *features), features, cuts).select(key, *xs))
+    points = materialize(placed.select(*xs).distinct())
+    behind = materialize(_points(background.select(*features), features, cuts).groupBy(*xs).agg(F.count(F.lit(1)).alias("_n")))
+    total = behind.agg(F.sum("_n")).first()[0]
+    masks = F.explode(F.sequence(F.lit(0), F.lit(2**n - 1)))
+    member = lambda j: F.col("_mask").bitwiseAND(1 << j) != 0
+    inside = [F.when(member(j), F.col(x)).otherwise(0.0).alias(f"_m{j}") for j, x in enumerate(xs)]
+    ms, bs = [f"_m{j}" for j in range(n)], [f"_b{j}" for j in range(n)]
+    mine = materialize(points.withColumn("_mask", masks).select("_mask", *inside).distinct())
+    outside = [F.when(member(j), 0.0).otherwise(F.col(x)).alias(f"_b{j}") for j, x in enumerate(xs)]
+    theirs = materialize(behind.withColumn("_mask", masks).select("_mask", "_n", *outside).groupBy("_mask", *bs).agg(F.sum("_n").alias("_n")))
+    sizes = [dict(side.groupBy("_mask").count().collect()) for side in (mine, theirs)]  # a number per coalition
+    down, across = [[max(1, -(-size.get(mask, 0) // CELL)) for mask in range(2**n)] for size in sizes]
+    of = lambda table: F.get(F.array(*map(F.lit, table)), F.col("_mask"))
+    every = lambda table: F.explode(F.sequence(F.lit(0), of(table) - 1))
+    cells = sum(r * c for r, c in zip(down, across))
+    parts = min(cells, 4096)
+    left = mine.withColumn("_r", F.pmod(F.xxhash64(*ms), of(down)).cast("int")).withColumn("_c", every(across)).repartition(parts, "_mask", "_r", "_c")
+    right = theirs.withColumn("_c", F.pmod(F.xxhash64(*bs), of(across)).cast("int")).withColumn("_r", every(down)).repartition(parts, "_mask", "_r", "_c")
+    mixed = left.join(right, ["_mask", "_r", "_c"]).select(
+        "_mask", "_n", *ms, *[F.when(member(j), F.col(f"_m{j}")).otherwise(F.col(f"_b{j}")).alias(f) for j, f in enumerate(features)]
     )
     p = vector_to_array("probability")[1]
-    scored = model.transform(mixed).select(key, "_mask", *[f"_c{j}" for j in range(n)], p.alias("_p"))
-    return scored.groupBy(key).agg(
-        *[(F.sum(F.col(f"_c{j}") * F.col("_p")) / len(chosen)).alias(f"phi_{f}") for j, f in enumerate(features)],
-        F.avg(F.when(F.col("_mask") == 0, F.col("_p"))).alias("base"),
-        F.avg(F.when(F.col("_mask") == 2**n - 1, F.col("_p"))).alias("prediction"),
+    scored = model.transform(mixed).select("_mask", *ms, (p * F.col("_n")).alias("_p"))
+    worth = materialize(scored.groupBy("_mask", *ms).agg((F.sum("_p") / total).alias("_v")))
+    factors = F.array(*[F.array(*map(F.lit, row)) for row in coalition_weights(n)])
+    met = points.withColumn("_mask", masks).select("_mask", *xs, *inside).join(worth, ["_mask", *ms])
+    phis = met.groupBy(*xs).agg(
+        *[F.sum(F.get(F.get(factors, F.col("_mask")), F.lit(j)) * F.col("_v")).alias(f"phi_{f}") for j, f in enumerate(features)],
+        F.max(F.when(F.col("_mask") == 0, F.col("_v"))).alias("base"),
+        F.max(F.when(F.col("_mask") == 2**n - 1, F.col("_v"))).alias("prediction"),
     )
+    return placed.join(phis, xs).select(key, *[f"phi_{f}" for f in features], "base", "prediction")
 
 
 def _phis(attribution: DataFrame) -> list[str]:

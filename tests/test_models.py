@@ -161,6 +161,26 @@ def test_shapley_values_add_up_and_ignore_unused_features(customers, run):
         assert max(abs(r[f"phi_{unused}"]) for r in rows) < 1e-12
 
 
+@pytest.mark.parametrize("name", ["hist_gradient_boosting", "logistic_regression"])
+def test_shapley_values_rest_on_the_whole_background(customers, run, name):
+    model = run.models[name]
+    background = customers.orderBy("customer_id").limit(130)
+    rows = {r["customer_id"]: r for r in attribution.shapley_values(model, customers, background).collect()}
+    data = {r["customer_id"]: [float(r[c]) for c in CHURN_FEATURES] for r in customers.select("customer_id", *CHURN_FEATURES).collect()}
+    behind = [data[k] for k in sorted(data)[:130]]
+    n, table = len(CHURN_FEATURES), attribution.coalition_weights(len(CHURN_FEATURES))
+    asked = sorted(data)[::100]
+    mixed = [(k, m, *[data[k][j] if m >> j & 1 else b[j] for j in range(n)]) for k in asked for m in range(2**n) for b in behind]
+    plain = customers.sparkSession.createDataFrame(mixed, ["k", "m", *CHURN_FEATURES])
+    scored = model.transform(plain).groupBy("k", "m").agg(F.avg(churn.positive_probability()).alias("v"))
+    worth = {(r["k"], r["m"]): r["v"] for r in scored.collect()}
+    assert len(rows) == len(data)
+    for k in asked:
+        assert rows[k]["base"] == pytest.approx(worth[k, 0], abs=1e-9) and rows[k]["prediction"] == pytest.approx(worth[k, 2**n - 1], abs=1e-9)
+        for j, c in enumerate(CHURN_FEATURES):
+            assert rows[k][f"phi_{c}"] == pytest.approx(sum(worth[k, m] * table[m][j] for m in range(2**n)), abs=1e-9)
+
+
 def test_coalition_weights_give_the_shapley_value_of_a_game():
     # phi of a weighted-majority-like game by averaging over all orders of arrival.
     from itertools import permutations
