@@ -18,7 +18,7 @@ from revenue_lens.llm.line_windows import emptied, remove_repeated_windows
 from revenue_lens.llm.minhash import near_duplicates
 from revenue_lens.llm.source_mix import mixed_texts
 from revenue_lens.llm.toxicity import THRESHOLD, fit, score_of
-from revenue_lens.operators.storage import shared_folder
+from revenue_lens.operators.storage import materialize, shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -38,13 +38,28 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates: that with the smallest doc_id. Of rows that repeat
-    a doc_id one stays."""
-    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
-    again = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("again"))
-    once = left.join(again, F.col("doc_id") == F.col("again"), "left_anti")
-    return once.unionByName(left.join(again, F.col("doc_id") == F.col("again"), "left_semi").dropDuplicates(["doc_id"]))
+    """One text of each component of near duplicates: that with the smallest doc_id, and of several of that doc_id
+    the one with the smallest digest. Of rows that repeat doc_id and text the smallest stays. Rows without a
+    doc_id stay."""
+    digest = F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit(""))
+    ids = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min(digest).alias("low"), F.max(digest).alias("high"))
+    again = materialize(ids.where("n > 1").select("doc_id", (F.col("low") != F.col("high")).alias("unlike")))
+    if not again.where("unlike").take(1):
+        gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
+        left = docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    else:
+        # A number for each doc_id and text, in their order, judged as a document of its own.
+        texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("of_doc"), digest.alias("digest")).distinct()
+        numbers = materialize(texts.orderBy("of_doc", "digest").withColumn("number", F.monotonically_increasing_id()))
+        same = (F.col("doc_id") == F.col("of_doc")) & (digest == F.col("digest"))
+        named = docs.join(numbers, same).select(F.col("number").alias("doc_id"), "text")
+        gone = near_duplicates(named).where("NOT kept").select(F.col("doc_id").alias("number")).distinct()
+        left = docs.join(numbers.join(gone, "number"), same, "left_anti")
+    repeats = again.select(F.col("doc_id").alias("again"))
+    once = left.join(repeats, F.col("doc_id") == F.col("again"), "left_anti")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    least = left.join(repeats, F.col("doc_id") == F.col("again"), "left_semi").groupBy("doc_id", digest.alias("digest")).agg(F.min(row).alias("row"))
+    return once.unionByName(least.select("row.*"))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,3 +47,10 @@ def test_stages(spark, folder, tmp_path):
     assert {300, 301} & set(kept["near_duplicates"]) == set()
     assert set(kept["near_duplicates"]) - set(kept["decontamination"]) == {302}
     assert docs.groupBy("doc_id", "copy", "block").count().where(F.col("count") > 1).count() == 0
+
+
+def test_unlike_texts_of_one_doc_id_are_judged_by_themselves(spark, make_docs):
+    rows = [(1, prose(1, 60)), (5, prose(1, 59)), (5, prose(2, 60)), (7, prose(2, 59)), (7, prose(3, 60)), (7, prose(3, 60)), (8, None), (8, ""), (9, prose(4, 60), "en", "z"), (9, prose(4, 60), "en", "b"), (None, prose(1, 60))]
+    left = pipeline.drop_near_duplicates(spark, make_docs(rows), "")
+    want = [(1, rows[0][1], "a"), (5, rows[2][1], "a"), (7, rows[4][1], "a"), (8, None, "a"), (8, "", "a"), (9, rows[8][1], "b"), (None, rows[0][1], "a")]
+    assert sorted(map(repr, ((r["doc_id"], r["text"], r["source"]) for r in left.collect()))) == sorted(map(repr, want))
