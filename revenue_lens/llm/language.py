@@ -3,7 +3,7 @@
 A text is its character 2- to 4-grams (lower case, everything but letters and marks as one space), hashed to
 16,384 buckets. A bucket has an embedding of 16 numbers; the mean over the text goes through a
 linear layer and a softmax. Both are trained together by stochastic gradient descent in numpy, on a
-bounded sample per language. A held-back fifth of the sample sets the temperature that makes the
+bounded sample of every language. A held-back fifth of the sample sets the temperature that makes the
 probabilities honest, and the least probability from which predictions are accepted: the lowest at which at
 least 99 % of what is accepted is right.
 
@@ -26,8 +26,8 @@ from revenue_lens.llm.catalog import id_remainder, query, table
 
 #: Rows of each language to learn from: those with the smallest hashes of doc_id.
 ROWS_PER_LANGUAGE = 1500
-#: Languages learnt, the most frequent first; bounds the sample and the model.
-MOST_LANGUAGES = 200
+#: Rows of all languages: the more languages, the fewer rows of each, but one at least.
+ROWS_IN_ALL = 300000
 BITS, WIDTH = 14, 16
 SIZES = (2, 3, 4)
 UNKNOWN = "und"
@@ -81,14 +81,15 @@ def _count_batches(batches):
         yield pa.RecordBatch.from_arrays([batch["lang"], pa.array(ids, pa.binary()), pa.array(counts, pa.binary())], ["lang", "ids", "counts"])
 
 
-def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, most_languages: int = MOST_LANGUAGES) -> LanguageModel:
-    """Learn from ``docs(doc_id, text, lang)``; the counts of at most ``rows_per_language`` rows of each
-    language, 16,384 buckets each at most, come to the driver."""
+def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, rows_in_all: int = ROWS_IN_ALL) -> LanguageModel:
+    """Learn every language of ``docs(doc_id, text, lang)``; the counts of at most ``rows_per_language`` rows of each
+    language and ``rows_in_all`` in all (or one of each), 16,384 buckets each at most, come to the driver."""
     marked = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("lang").cast("string").alias("lang"))
-    known = marked.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages)
+    languages = marked.select("lang").distinct().count()
+    rows_per_language = max(1, min(rows_per_language, rows_in_all // max(1, languages)))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = marked.distinct().join(F.broadcast(known.select("lang")), "lang").withColumn("k", F.row_number().over(order)).where(F.col("k") <= rows_per_language).select("doc_id", "lang")
-    # At most rows_per_language * most_languages ids.
+    picked = marked.distinct().withColumn("k", F.row_number().over(order)).where(F.col("k") <= rows_per_language).select("doc_id", "lang")
+    # At most rows_in_all ids, or one of each language.
     sample = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text").join(F.broadcast(picked), ["doc_id", "lang"])
     rows = sample.select("lang", "text").mapInArrow(_count_batches, "lang string, ids binary, counts binary").collect()
     distinct = sorted({(r["lang"], bytes(r["ids"]), bytes(r["counts"])) for r in rows if r["ids"]})

@@ -224,6 +224,11 @@ def test_language_learns(spark, make_docs):
     assert {found[i]["lang_pred"] for i in (900, 901, 902)} == {"und"}
 
 
+def test_language_learns_the_rare_ones_of_many(make_docs):
+    docs = make_docs([(i, f"w{i % 230}x text", f"l{i % 230}") for i in range(460)])
+    assert len(language.fit(docs).languages) == 230
+
+
 def test_toxicity_learns(spark, make_docs):
     rows = [(i, " ".join([*prose(i, 80), *(["vileword"] if i % 5 == 0 else [])])) for i in range(400)]
     labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(300)] + [(0, None), (None, 1)], "doc_id bigint, toxic int")
