@@ -23,11 +23,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from revenue_lens.llm.catalog import id_remainder, query, table
+from revenue_lens.operators.storage import materialize
 
 #: Rows of each language to learn from: those with the smallest hashes of doc_id.
 ROWS_PER_LANGUAGE = 1500
 #: Rows of all languages: the more languages, the fewer rows of each, but one at least.
 ROWS_IN_ALL = 300000
+#: First bits of the hash by which rows are counted before they are ranked.
+PART_BITS = 12
 BITS, WIDTH = 14, 16
 SIZES = (2, 3, 4)
 UNKNOWN = "und"
@@ -81,14 +84,25 @@ def _count_batches(batches):
         yield pa.RecordBatch.from_arrays([batch["lang"], pa.array(ids, pa.binary()), pa.array(counts, pa.binary())], ["lang", "ids", "counts"])
 
 
+def _picked(marked: DataFrame, k: int) -> DataFrame:
+    """The ``k`` rows of each language of ``marked(doc_id, lang)`` with the smallest hashes. Counts by the first bits of the
+    hash tell which rows can be among them; only those are ranked, so that no task has all rows of a language."""
+    part = F.shiftright(F.xxhash64("doc_id"), 64 - PART_BITS)
+    counts = marked.groupBy("lang", part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("part")) - F.col("n")
+    last = counts.withColumn("before", before).where(F.col("before") < k).groupBy("lang").agg(F.max("part").alias("last"))
+    near = marked.join(F.broadcast(last), "lang").where(part <= F.col("last")).select("doc_id", "lang")
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    return near.withColumn("k", F.row_number().over(order)).where(F.col("k") <= k).select("doc_id", "lang")
+
+
 def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, rows_in_all: int = ROWS_IN_ALL) -> LanguageModel:
     """Learn every language of ``docs(doc_id, text, lang)``; the counts of at most ``rows_per_language`` rows of each
     language and ``rows_in_all`` in all (or one of each), 16,384 buckets each at most, come to the driver."""
     marked = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("lang").cast("string").alias("lang"))
     languages = marked.select("lang").distinct().count()
     rows_per_language = max(1, min(rows_per_language, rows_in_all // max(1, languages)))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = marked.distinct().withColumn("k", F.row_number().over(order)).where(F.col("k") <= rows_per_language).select("doc_id", "lang")
+    picked = _picked(materialize(marked.distinct()), rows_per_language)
     # At most rows_in_all ids, or one of each language.
     sample = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text").join(F.broadcast(picked), ["doc_id", "lang"])
     rows = sample.select("lang", "text").mapInArrow(_count_batches, "lang string, ids binary, counts binary").collect()

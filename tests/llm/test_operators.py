@@ -229,6 +229,19 @@ def test_language_learns_the_rare_ones_of_many(make_docs):
     assert len(language.fit(docs).languages) == 230
 
 
+def test_language_sample_ranks_few_rows(spark):
+    marked = spark.range(50000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 1000 == 0, "bb").otherwise("aa").alias("lang"))
+    hashed = sorted((r["h"], r["doc_id"], r["lang"]) for r in marked.withColumn("h", F.xxhash64("doc_id")).collect())
+    want = {x[1] for l in ("aa", "bb") for x in [y for y in hashed if y[2] == l][:60]}
+    picked = language._picked(marked, 60)
+    assert {r["doc_id"] for r in picked.collect()} == want and len(want) == 110
+    # The rows under the last window, which ranks by the whole hash.
+    near = picked._jdf.queryExecution().optimizedPlan()
+    while not near.toString().startswith("Window"):
+        near = near.children().head()
+    assert spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, near.children().head()).count() < 200
+
+
 def test_toxicity_learns(spark, make_docs):
     rows = [(i, " ".join([*prose(i, 80), *(["vileword"] if i % 5 == 0 else [])])) for i in range(400)]
     labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(300)] + [(0, None), (None, 1)], "doc_id bigint, toxic int")
