@@ -6,6 +6,7 @@ from revenue_lens.llm import (  # noqa: F401
     interpolation,
     language,
     line_windows,
+    merkle,
     minhash,
     reply_trees,
     source_mix,
