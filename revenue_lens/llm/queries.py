@@ -8,6 +8,7 @@ from revenue_lens.llm import (  # noqa: F401
     line_windows,
     merkle,
     minhash,
+    packing,
     ranked_search,
     reply_trees,
     source_mix,
