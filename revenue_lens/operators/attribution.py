@@ -1,4 +1,4 @@
-"""Shapley values: in closed form for linear scores, by all coalitions for any model."""
+"""Shapley values: in closed form for linear scores and boosted trees, by all coalitions for any model."""
 
 from __future__ import annotations
 
@@ -7,13 +7,17 @@ import re
 from math import factorial
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.feature import StandardScalerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revenue_lens.functions import hash_uniform
 from revenue_lens.functions.scoring import HEURISTIC_WEIGHTS
+from revenue_lens.operators.boosting import BoostedTreesModel
 from revenue_lens.operators.storage import materialize
+from revenue_lens.operators.tree_shapley import boosted_stage, tree_shapley_values
 from revenue_lens.settings import CHURN_FEATURES, SEED
 
 TOP_FEATURES = 5
@@ -41,6 +45,10 @@ def coalition_weights(n: int) -> list[list[float]]:
 def _cuts(model: PipelineModel, features: list[str]) -> list[list[float]] | None:
     """Sorted split values of each feature of a tree model; None for other models."""
     last = model.stages[-1]
+    if isinstance(last, BoostedTreesModel):
+        fitted = last.fitted
+        used = [{int(c) for t in fitted.trees for f, c in zip(t.feature, t.cut) if f == j} for j in range(len(features))]
+        return [[float(fitted.cuts[j][c]) for c in sorted(cuts)] for j, cuts in enumerate(used)] if fitted.features == features else None
     if len(model.stages) != 2 or not hasattr(last, "trees") or list(model.stages[0].getInputCols()) != features:
         return None
     found: list[set[float]] = [set() for _ in features]
@@ -120,6 +128,29 @@ def shapley_values(
     return placed.join(phis, xs).select(key, *[f"phi_{f}" for f in features], "base", "prediction")
 
 
+def logistic_attribution(model: PipelineModel, rows: DataFrame, background: DataFrame, key: str = "customer_id") -> DataFrame:
+    """(key, phi_<feature>..., base, prediction) of a scaled logistic model on the margin, where it is linear."""
+    scaler, classifier = model.stages[1:]
+    features = model.stages[0].getInputCols()
+    weights = {f: float(c) / float(s) if s else 0.0 for f, c, s in zip(features, classifier.coefficients.toArray(), scaler.std.toArray())}
+    centre = dict(zip(features, scaler.mean.toArray()))
+    means = background.agg(*[F.avg(c).alias(c) for c in features]).first()
+    base = float(classifier.intercept) + sum(w * (means[f] - float(centre[f])) for f, w in weights.items())
+    phis = [(F.lit(w) * (F.col(f) - F.lit(means[f]))).alias(f"phi_{f}") for f, w in weights.items()]
+    complete = rows.na.drop(subset=features).select(key, *phis)
+    return complete.select("*", F.lit(base).alias("base"), sum((F.col(f"phi_{f}") for f in features), F.lit(base)).alias("prediction"))
+
+
+def attribution_of(model: PipelineModel, rows: DataFrame, background: DataFrame, key: str = "customer_id") -> DataFrame:
+    """(key, phi_<feature>..., base, prediction) of every row: on the margin, in one pass over the rows, for boosted trees and the
+    logistic model; of the probability, by coalitions, for any other."""
+    if boosted_stage(model) is not None:
+        return tree_shapley_values(model, rows, key)
+    if isinstance(model.stages[-1], LogisticRegressionModel) and len(model.stages) == 3 and isinstance(model.stages[1], StandardScalerModel):
+        return logistic_attribution(model, rows, background, key)
+    return shapley_values(model, rows, background, list(model.stages[0].getInputCols()), key)
+
+
 def _phis(attribution: DataFrame) -> list[str]:
     return [c for c in attribution.columns if c.startswith("phi_")]
 

@@ -3,22 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revenue_lens.functions import hash_uniform, heuristic_probability, risk_tier
-from revenue_lens.operators.ranking import beyond, rows_at_ranks
-from revenue_lens.operators.ranking_metrics import ranking_metrics
+from revenue_lens.operators import boosting
+from revenue_lens.operators.boosting import BoostedTreesModel, Booster
+from revenue_lens.operators.ranking import beyond, closing_ranks, part_of, rows_at_ranks
+from revenue_lens.operators.ranking_metrics import metrics_of_counts, ranking_metrics
 from revenue_lens.operators.storage import materialize
 from revenue_lens.settings import CHURN_FEATURES, CHURN_TEST_SHARE, SEED
 
@@ -36,12 +36,14 @@ class Sizes:
     forest_depth: int = 12
     boosting_rounds: int = 200
     boosting_depth: int = 5
+    boosting_leaves: int = 31
+    boosting_min_rows: int = 20
     boosting_rate: float = 0.06
     tuned_rounds: int = 250
     tuned_rate: float = 0.08
     tuned_subsample: float = 0.85
     depth_grid: tuple[int, ...] = (3, 6)
-    leaves_grid: tuple[int, ...] = (5, 6)
+    leaves_grid: tuple[int, ...] = (31, 63)
     parallelism: int = 8
 
 
@@ -71,17 +73,26 @@ def sample_weights(customers: DataFrame) -> DataFrame:
     return customers.withColumn("w", weight).withColumn("w_balanced", F.col("w") * balance)
 
 
+def with_folds(customers: DataFrame, seed: int = SEED) -> DataFrame:
+    """Add ``fold``: each class cut into ``FOLDS`` equal parts by the hash of the customer id."""
+    hashed = customers.withColumn("_u", hash_uniform(seed, "fold", F.col(KEY)))
+    closing = rows_at_ranks(hashed.select(LABEL, "_u", KEY), LABEL, "_u", KEY, lambda n: closing_ranks(n, FOLDS))
+    fold = F.lit(0)
+    for label, cuts in closing.items():
+        fold = F.when(F.col(LABEL) == label, part_of(F.col("_u"), F.col(KEY), cuts) - 1).otherwise(fold)
+    return hashed.withColumn("fold", fold).drop("_u")
+
+
 def training_rows(customers: DataFrame, share: float = CHURN_TEST_SHARE, seed: int = SEED) -> DataFrame:
-    """Complete rows with split, weights and stratified fold number, stored for the many fits.
+    """Complete rows with split, weights and fold number, stored for the many fits.
 
-    Class balance is taken over the training part only.
+    Class balance and folds are taken over the training part only.
     """
     complete = customers.select(KEY, LABEL, *CHURN_FEATURES).na.drop()
     split = materialize(stratified_split(complete, share, seed))
-    fold = F.floor(hash_uniform(seed, "fold", F.col(KEY)) * FOLDS).cast("int").alias("fold")
-    train = sample_weights(split.where("NOT is_test"))
-    test = split.where("is_test").withColumns({"w": F.lit(0.0), "w_balanced": F.lit(0.0)})
-    return materialize(train.unionByName(test).select("*", fold))
+    train = with_folds(sample_weights(split.where("NOT is_test")), seed)
+    test = split.where("is_test").withColumns({"w": F.lit(0.0), "w_balanced": F.lit(0.0), "fold": F.lit(None).cast("int")})
+    return materialize(train.unionByName(test))
 
 
 def _assembled(classifier, scaled: bool = False) -> Pipeline:
@@ -91,28 +102,47 @@ def _assembled(classifier, scaled: bool = False) -> Pipeline:
     return Pipeline(stages=[*stages, classifier])
 
 
-def _boosted(weight: str, rounds: int, depth: int, rate: float, seed: int, **more) -> GBTClassifier:
-    return GBTClassifier(
-        featuresCol="x", labelCol=LABEL, weightCol=weight, maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed, **more
-    )
-
-
-def _tuned(train: DataFrame, weight: str, depths: tuple[int, ...], sizes: Sizes, seed: int, features_per_split: str):
-    classifier = _boosted(
-        weight, sizes.tuned_rounds, depths[0], sizes.tuned_rate, seed,
-        subsamplingRate=sizes.tuned_subsample, featureSubsetStrategy=features_per_split,
-    )
-    search = CrossValidator(
-        estimator=_assembled(classifier),
-        estimatorParamMaps=ParamGridBuilder().addGrid(classifier.maxDepth, list(depths)).build(),
-        evaluator=BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC"),
-        numFolds=FOLDS,
-        foldCol="fold",
-        parallelism=sizes.parallelism,
-        seed=seed,
-    )
-    best = search.fit(train)
-    return best.bestModel, {"maxDepth": best.bestModel.stages[-1].getOrDefault("maxDepth")}
+#: Names of the candidates; those of the boosted ones are grown together.
+BOOSTED = ("hist_gradient_boosting", "boosted_by_depth", "boosted_by_leaves")
+
+
+def boosters(name: str, sizes: Sizes = Sizes()) -> list[tuple[dict | None, Booster]]:
+    """The grid of a boosted candidate: parameters and how to grow each of its points (fixed values)."""
+    if name == "hist_gradient_boosting":
+        return [(None, Booster(name, sizes.boosting_rounds, sizes.boosting_rate, "w", sizes.boosting_depth, sizes.boosting_leaves, min_rows=sizes.boosting_min_rows))]
+    if name == "boosted_by_depth":
+        share = sizes.tuned_subsample
+        more = {"l2": 1.0, "min_hessian": 1.0, "row_share": share, "feature_share": share}
+        return [({"maxDepth": d}, Booster(name, sizes.tuned_rounds, sizes.tuned_rate, "w", d, **more)) for d in sizes.depth_grid]
+    more = {"min_rows": sizes.boosting_min_rows}
+    return [({"maxLeaves": n}, Booster(name, sizes.tuned_rounds, sizes.tuned_rate, "w_balanced", max_leaves=n, **more)) for n in sizes.leaves_grid]
+
+
+def fit_boosted(train: DataFrame, names: list[str], sizes: Sizes = Sizes(), seed: int = SEED) -> dict[str, tuple[PipelineModel, dict | None]]:
+    """The boosted candidates ``names`` with their parameters. All grid points, each on all rows and without each fold, grow
+    at the same time; the point with the best mean AUC on the folds left out is chosen."""
+    plans, points = [], []
+    for name in names:
+        grid = boosters(name, sizes)
+        for k, (params, booster) in enumerate(grid):
+            points.append((name, k, params))
+            folds = [None, *range(FOLDS)] if len(grid) > 1 else [None]
+            plans += [replace(booster, name=f"{name}|{k}|{'all' if f is None else f}", fold=f) for f in folds]
+    run = boosting.fit(train, CHURN_FEATURES, LABEL, KEY, plans, seed)
+    mean = {}
+    if any(p.fold is not None for p in plans):
+        counts = run.held_out.groupBy("model", F.col("margin").alias("prob")).agg(
+            F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("pos"), F.sum(F.when(F.col("label") != 1, F.col("n")).otherwise(0)).alias("neg")
+        )
+        # A row per model and fold.
+        for r in metrics_of_counts(materialize(counts)).collect():
+            mean.setdefault(r["model"].rsplit("|", 1)[0], []).append(r["auc_roc"] or 0.0)
+    found = {}
+    for name in names:
+        own = [(k, params) for n, k, params in points if n == name]
+        k, params = max(own, key=lambda p: (sum(mean.get(f"{name}|{p[0]}", [0.0])), -p[0]))
+        found[name] = PipelineModel(stages=[BoostedTreesModel.of(run.models[f"{name}|{k}|all"])]), params
+    return found
 
 
 def candidates(sizes: Sizes = Sizes(), seed: int = SEED) -> dict[str, Callable[[DataFrame], tuple[PipelineModel, dict | None]]]:
@@ -133,16 +163,7 @@ def candidates(sizes: Sizes = Sizes(), seed: int = SEED) -> dict[str, Callable[[
         )
         return _assembled(classifier).fit(train), None
 
-    def boosting(train):
-        return _assembled(_boosted("w", sizes.boosting_rounds, sizes.boosting_depth, sizes.boosting_rate, seed)).fit(train), None
-
-    return {
-        "logistic_regression": logistic,
-        "random_forest": forest,
-        "hist_gradient_boosting": boosting,
-        "boosted_by_depth": lambda train: _tuned(train, "w", sizes.depth_grid, sizes, seed, "0.85"),
-        "boosted_by_leaves": lambda train: _tuned(train, "w_balanced", sizes.leaves_grid, sizes, seed, "all"),
-    }
+    return {"logistic_regression": logistic, "random_forest": forest}
 
 
 def positive_probability() -> Column:
@@ -180,18 +201,23 @@ def train_churn_models(rows: DataFrame, sizes: Sizes = Sizes(), seed: int = SEED
     train = materialize(rows.where("NOT is_test"))
     test = rows.where("is_test")
     chosen = {n: fit for n, fit in candidates(sizes, seed).items() if names is None or n in names}
+    boosted = [n for n in BOOSTED if names is None or n in names]
+    tasks = {**chosen, **({"": lambda rows: fit_boosted(rows, boosted, sizes, seed)} if boosted else {})}
 
     def attempt(name: str):
         try:
-            return chosen[name](train)
+            return tasks[name](train)
         except Exception as problem:  # noqa: BLE001 - a failing candidate must not stop the others
             return str(problem).splitlines()[0]
 
     # The candidates are independent; their many small jobs interleave on the cluster.
-    with ThreadPool(max(len(chosen), 1)) as pool:
-        outcomes = pool.map(inheritable_thread_target(rows.sparkSession)(attempt), chosen)
+    with ThreadPool(max(len(tasks), 1)) as pool:
+        outcomes = dict(zip(tasks, pool.map(inheritable_thread_target(rows.sparkSession)(attempt), tasks)))
+    if boosted:
+        together = outcomes.pop("")
+        outcomes |= {n: together if isinstance(together, str) else together[n] for n in boosted}
     models, params, errors, scored = {}, {}, {}, None
-    for name, outcome in zip(chosen, outcomes):
+    for name, outcome in outcomes.items():
         if isinstance(outcome, str):
             errors[name] = outcome
             continue
@@ -209,14 +235,11 @@ def train_churn_models(rows: DataFrame, sizes: Sizes = Sizes(), seed: int = SEED
 def refit(customers: DataFrame, name: str, params: dict | None, sizes: Sizes = Sizes(), seed: int = SEED) -> PipelineModel:
     """Fit the winner again on all complete rows, with its tuned parameters."""
     rows = sample_weights(customers.select(KEY, LABEL, *CHURN_FEATURES).na.drop())
-    if params:
-        weight = "w" if name == "boosted_by_depth" else "w_balanced"
-        classifier = _boosted(
-            weight, sizes.tuned_rounds, params["maxDepth"], sizes.tuned_rate, seed,
-            subsamplingRate=sizes.tuned_subsample, featureSubsetStrategy="0.85" if weight == "w" else "all",
-        )
-        return _assembled(classifier).fit(rows)
-    return candidates(sizes, seed)[name](rows)[0]
+    if name not in BOOSTED:
+        return candidates(sizes, seed)[name](rows)[0]
+    booster = next(b for p, b in boosters(name, sizes) if not params or p == params)
+    run = boosting.fit(materialize(rows.withColumn("fold", F.lit(0))), CHURN_FEATURES, LABEL, KEY, [booster], seed)
+    return PipelineModel(stages=[BoostedTreesModel.of(run.models[name])])
 
 
 def score_requests(requests: DataFrame, model: PipelineModel | None = None) -> DataFrame:

@@ -20,9 +20,15 @@ def ranking_metrics(scored: DataFrame) -> DataFrame:
     AUC counts tied pairs half; average precision steps by distinct threshold. Both are
     NULL when one class is missing.
     """
-    by_score = scored.groupBy("model", "prob").agg(
-        F.count(F.when(F.col("label") == 1, 1)).alias("pos"), F.count(F.when(F.col("label") != 1, 1)).alias("neg")
+    return metrics_of_counts(
+        scored.groupBy("model", "prob").agg(
+            F.count(F.when(F.col("label") == 1, 1)).alias("pos"), F.count(F.when(F.col("label") != 1, 1)).alias("neg")
+        )
     )
+
+
+def metrics_of_counts(by_score: DataFrame) -> DataFrame:
+    """The same from one row per (model, prob) with the counts ``pos`` and ``neg``."""
     at = running_totals(by_score, "model", "prob", ["pos", "neg"])
     wins = F.col("pos") * (F.col("cum_neg") - F.col("neg") * 0.5)
     true_positives = F.col("all_pos") - F.col("cum_pos") + F.col("pos")

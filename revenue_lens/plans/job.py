@@ -118,7 +118,7 @@ def run(
     )
 
     # Who is at risk, and why: every customer is explained.
-    shapley = materialize(attribution.shapley_values(model, complete, complete, seed=seed))
+    shapley = materialize(attribution.attribution_of(model, complete, complete))
     exports.write_csv(attribution.top_drivers(shapley), f"{tables}/top_drivers")
     exports.write_csv(attribution.global_importance(shapley), f"{tables}/feature_importance")
 

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revenue_lens.functions.scoring import HEURISTIC_WEIGHTS
-from revenue_lens.operators import attribution, churn, segments, survival
+from revenue_lens.operators import attribution, boosting, churn, segments, survival
 from revenue_lens.operators.accuracy import forecast_metrics
 from revenue_lens.operators.customers import customer_features
 from revenue_lens.operators.forecasting import baseline_forecasts, best_model, split_series, weekly_series
@@ -16,9 +16,10 @@ from revenue_lens.plans import sql_parts as sql
 from revenue_lens.plans.catalog import query, with_ctes
 from revenue_lens.plans.customer_queries import features_now, features_of, rfm_now, scored_now
 from revenue_lens.plans.monitoring_queries import COMPANY, MONTE_CARLO, company_best_forecast, keyed_orders, profit_of
-from revenue_lens.settings import BEHAVIOUR_FEATURES
+from revenue_lens.settings import BEHAVIOUR_FEATURES, CHURN_FEATURES
 from revenue_lens.sources import exports
 from revenue_lens.sources.orders import latest_order_date, tpch_orders, with_reject_reason
+from revenue_lens.sources.registry import dataset_fingerprint
 
 FEATURES = (sql.O, sql.features("f", sql.AS_OF))
 RFM = (*FEATURES, sql.rfm("r", "f"))
@@ -225,9 +226,18 @@ def q_request_validation(spark, sf_dir):
     return with_reject_reason(requests).select("customer_id", "reject_reason")
 
 
+#: Runs of this application by the data they were trained on; their tables lie in the shared folder.
+_RUNS: dict[tuple[str, str], churn.ChurnRun] = {}
+
+
 def churn_run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, churn.ChurnRun]:
+    """Customers and the comparison of all models on them, trained once for the queries that need it."""
     customers = features_now(spark, sf_dir)
-    return customers, churn.train_churn_models(churn.training_rows(customers))
+    rows = churn.training_rows(customers)
+    name = (spark.sparkContext.applicationId, dataset_fingerprint(rows))
+    if name not in _RUNS:
+        _RUNS[name] = churn.train_churn_models(rows)
+    return customers, _RUNS[name]
 
 
 @query("churn_leaderboard")
@@ -242,12 +252,59 @@ def q_churn_scores(spark, sf_dir):
     return churn.score(model, customers)
 
 
+LAGGED_ROWS = f"tr AS (SELECT customer_id, churned, {', '.join(CHURN_FEATURES)}, round(ln(1 + greatest(lag_clv_proxy, 0)) * 1048576)::BIGINT AS w FROM f WHERE {' AND '.join(f'{c} IS NOT NULL' for c in CHURN_FEATURES)})"
+
+
+@query(
+    "churn_folds",
+    with_ctes(
+        *FEATURES,
+        LAGGED_ROWS,
+        "n AS (SELECT churned, count(*) - floor(count(*) * 0.25 + 0.5)::BIGINT AS n FROM tr GROUP BY churned)",
+        select="SELECT churned, fold::INTEGER AS fold, ((fold + 1) * n // 5 - fold * n // 5)::BIGINT AS n_rows FROM n, range(5) AS r(fold)",
+    ),
+)
+def q_churn_folds(spark, sf_dir):
+    """Rows of each class in each fold of the training part."""
+    rows = churn.training_rows(features_now(spark, sf_dir)).where("NOT is_test")
+    return rows.groupBy("churned", "fold").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+_PLACES = ", ".join(f"floor((count(*) OVER (ORDER BY {c}) - 1) * 256 / count(*) OVER ())::BIGINT AS b{i}" for i, c in enumerate(CHURN_FEATURES))
+_BINS = ", ".join(f"b{i}" for i in range(len(CHURN_FEATURES)))
+
+
+@query(
+    "boosting_root_gains",
+    with_ctes(
+        *FEATURES,
+        LAGGED_ROWS,
+        f"bi AS (SELECT *, {_PLACES} FROM tr)",
+        "ba AS (SELECT sum(w) FILTER (churned = 1) / sum(w)::DOUBLE AS p FROM tr)",
+        f"ce AS (SELECT {_BINS}, churned, count(*) AS n, sum(w)::BIGINT AS w FROM bi GROUP BY ALL)",
+        f"gr AS (SELECT {_BINS}, n, round((p - churned) * w) AS g, round(p * (1 - p) * w) AS h FROM ce, ba)",
+        "hi AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, b{i} AS bin, sum(g) AS g, sum(h) AS h, sum(n) AS n FROM gr GROUP BY bin" for i, c in enumerate(CHURN_FEATURES)) + ")",
+        "en AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, b{i} AS bin, max({c})::DOUBLE AS cut FROM bi GROUP BY bin" for i, c in enumerate(CHURN_FEATURES)) + ")",
+        """cu AS (SELECT feature, bin, cut, sum(g) OVER l / 1048576 AS gl, sum(h) OVER l / 1048576 AS hl, sum(n) OVER l AS nl,
+  sum(g) OVER a / 1048576 AS ga, sum(h) OVER a / 1048576 AS ha, sum(n) OVER a AS na FROM hi JOIN en USING (feature, bin)
+  WINDOW l AS (PARTITION BY feature ORDER BY bin), a AS (PARTITION BY feature))""",
+        select="""SELECT feature, cut, nl::BIGINT AS rows_left, round(gl ** 2 / hl + (ga - gl) ** 2 / (ha - hl) - ga ** 2 / ha, 6) AS gain
+  FROM cu WHERE nl >= 20 AND na - nl >= 20 AND hl >= 0.001 AND ha - hl >= 0.001""",
+    ),
+)
+def q_boosting_root_gains(spark, sf_dir):
+    """Every split that the first tree's root may take, over all customers."""
+    customers = churn.sample_weights(features_now(spark, sf_dir).select("customer_id", "churned", *CHURN_FEATURES).na.drop())
+    booster = churn.boosters("hist_gradient_boosting")[0][1]
+    return _rounded(boosting.root_gains(customers, CHURN_FEATURES, "churned", booster), ["gain"])
+
+
 @query("shap_values")
 def q_shap_values(spark, sf_dir):
     """Every customer explained, for the boosted model."""
     customers = features_now(spark, sf_dir)
     model = churn.refit(customers, "hist_gradient_boosting", None)
-    return attribution.shapley_values(model, customers, customers)
+    return attribution.attribution_of(model, customers, customers)
 
 
 # --- linear attribution ---------------------------------------------------------------

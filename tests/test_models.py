@@ -123,6 +123,15 @@ def test_training_uses_only_lagged_columns(run):
         assert model.stages[0].getInputCols() == CHURN_FEATURES
 
 
+def test_boosted_candidates_that_fail_are_recorded(customers, monkeypatch):
+    def broken(*a, **k):
+        raise RuntimeError("does not grow")
+
+    monkeypatch.setattr(churn.boosting, "fit", broken)
+    result = churn.train_churn_models(churn.training_rows(customers), SMALL, names=["logistic_regression", *churn.BOOSTED])
+    assert result.errors == dict.fromkeys(churn.BOOSTED, "does not grow") and result.best == "logistic_regression"
+
+
 def test_a_failing_candidate_is_recorded(customers, monkeypatch):
     def broken(train):
         raise RuntimeError("does not fit")
@@ -197,6 +206,32 @@ def test_coalition_weights_give_the_shapley_value_of_a_game():
     assert found == pytest.approx(expected)
 
 
+def test_logistic_attribution_adds_up_on_the_margin(customers, run):
+    model = run.models["logistic_regression"]
+    rows = attribution.attribution_of(model, customers, customers).collect()
+    p = {r["customer_id"]: r["churn_prob"] for r in churn.score(model, customers).collect()}
+    assert len(rows) == 400
+    for r in rows:
+        assert sum(r[f"phi_{c}"] for c in CHURN_FEATURES) == pytest.approx(r["prediction"] - r["base"], abs=1e-9)
+        assert 1 / (1 + math.exp(-r["prediction"])) == pytest.approx(p[r["customer_id"]], abs=1e-9)
+    assert sum(r["prediction"] for r in rows) / 400 == pytest.approx(rows[0]["base"])
+
+
+def test_boosted_models_are_explained_along_their_paths(customers, run):
+    model = run.models["boosted_by_leaves"]
+    rows = attribution.attribution_of(model, customers, customers).collect()
+    p = {r["customer_id"]: r["churn_prob"] for r in churn.score(model, customers).collect()}
+    assert all(1 / (1 + math.exp(-r["prediction"])) == pytest.approx(p[r["customer_id"]], abs=1e-9) for r in rows)
+
+
+def test_folds_are_stratified(customers):
+    rows = churn.training_rows(customers).where("NOT is_test")
+    n = {(r["churned"], r["fold"]): r["n"] for r in rows.groupBy("churned", "fold").agg(F.count("*").alias("n")).collect()}
+    for y in (0, 1):
+        sizes = [n[y, f] for f in range(churn.FOLDS)]
+        assert max(sizes) - min(sizes) <= 1
+
+
 def test_linear_attribution_and_drivers(spark):
     df = spark.createDataFrame([(1, 1.0, 10.0), (2, 3.0, 10.0)], "customer_id long, a double, b double")
     phi = attribution.linear_attribution(df, {"a": 2.0, "b": 1.0})
