@@ -77,7 +77,7 @@ def texts(n, seed=0):
     return ["".join(r.choice("abcXYZ é\n") for _ in range(r.randint(0, 30))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("n", [1, 7, 8, 9, 64, 65, 513, 1100])
+@pytest.mark.parametrize("n", [1, 65, 1100])
 def test_manifest_equals_recursion(spark, make_docs, n):
     rows = [(k * 7 % 5000, t, ("en", "de", None, "é")[k % 5 % 4], f"s{k % 3}", len(t)) for k, t in enumerate(texts(n))]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")

@@ -2,6 +2,7 @@
 
 import random
 from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -18,21 +19,24 @@ WORDS = packing.tokenizer_file(public_tokenizers.path("word_bpe_49k.json"))
 PARTS = ["a", "Foo", "don't", "é", " ", " ", "  ", "\n", "\n\n", "\t", "\r\n", "\x1c", "\x85", "　", "日本", "1", "23", "!", ".", "'s", "<|endoftext|>", "zzz,", " b", "x\ny"]
 
 
+library = lru_cache(Tokenizer.from_str)
+
+
 def by_library(content, text):
-    return Tokenizer.from_str(content).encode(text or "", add_special_tokens=False).ids + [0]
+    return library(content).encode(text or "", add_special_tokens=False).ids + [0]
 
 
 @pytest.mark.parametrize("part_bytes", [12, 1 << 20])
 def test_ids_are_those_of_the_library(monkeypatch, part_bytes):
     monkeypatch.setattr(packing, "PART_BYTES", part_bytes)
-    library, own, r = Tokenizer.from_str(BYTES), packing.TextIds(BYTES), random.Random(part_bytes)
+    own, r = packing.TextIds(BYTES), random.Random(part_bytes)
     assert own.ranked is not None
     for parts in (PARTS, ["foo", "Bar", " ", " ", " ", "\n", ".", "é"]):
         texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 25))) for _ in range(3000)] + [None, ""]
         for first in range(0, len(texts), 500):
             some = texts[first : first + 500]
             ids, starts = own.of_texts(pa.array(some, pa.string()))
-            assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == [library.encode(t or "", add_special_tokens=False).ids + [0] for t in some]
+            assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == [by_library(BYTES, t) for t in some]
 
 
 def test_other_tokenizers_are_left_to_the_library():
@@ -119,14 +123,17 @@ def test_whole_examples_keep_all_limits(spark):
 
 
 def test_the_dot_product_weighs_all_limits():
-    # Token-heavy and loss-heavy examples alternate: only mixing them fills both limits.
-    packer = packing.Packer(Limits(100, 10, 100), cut=False)
+    # By tokens alone the large ones would come first and leave no room for their loss-heavy partners.
+    packer = packing.Packer(Limits(100, 10, 45), cut=False)
     for k in range(50):
         packer.add(("tokens", k), 60, 5)
+    for k in range(50):
         packer.add(("loss", k), 40, 40)
-        packer.add(("small", k), 0, 55)
     packer.finish()
-    assert packer.next == 50
+    kinds = defaultdict(list)
+    for (kind, _), _, _, sequence, _ in packer.placed:
+        kinds[sequence].append(kind)
+    assert packer.next == 50 and all(sorted(k) == ["loss", "tokens"] for k in kinds.values())
 
 
 def test_limits_that_admit_nothing(spark):
