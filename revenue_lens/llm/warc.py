@@ -5,8 +5,8 @@ the record up to that chunk, carried on from chunk to chunk. The last chunk's di
 record's. Records that repeat a payload of at least 1000 bytes become revisits of the one with the largest
 page_id. Chunks are written as the segments of a WARC 1.1 record (the first a ``response``, the others
 ``continuation`` records), so neither writing nor reading ever holds a whole payload. Files are text files
-compressed with gzip, every line end as the format asks; reading follows the Content-Length of each
-record through the lines and computes the digests again.
+compressed with gzip, as many as their bytes ask for; reading takes what lies between double line ends, follows the
+Content-Length of each record through it and computes the digests again.
 
 Nulls and empties: a null payload is empty; a null url has no target field; records without a page_id are
 responses. Rows that repeat a page_id are records of their own; those that share the largest page_id of
@@ -27,8 +27,11 @@ from revenue_lens.operators.storage import materialize, shared_folder
 
 CHUNK_BYTES = 64 << 10
 REVISIT_BYTES = 1000
+#: Payload of an archive file, of which one task reads each; a small table still gets a file per core.
+ARCHIVE_BYTES = 256 << 20
 DATE = "2000-01-01T00:00:00Z"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+_END = b"\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -111,7 +114,8 @@ def write_archives(pages: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES
     """Write one record per row of ``pages(page_id, url, html)`` under ``folder``; the segments of a record follow
     each other in one file."""
     chunks = materialize(chunked(pages, chunk_bytes))
-    files = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = chunks.where("chunk = chunks - 1").agg(F.sum("upto").alias("n")).first()["n"] or 0
+    files = max(pages.sparkSession.sparkContext.defaultParallelism, -(-size // ARCHIVE_BYTES))
     kinds = decided(chunks.drop("data", "url")).withColumnRenamed("digest", "payload_digest")
     rows = chunks.repartition(files, "record").join(kinds, "record").where("original IS NULL OR chunk = 0")
     rows = rows.sortWithinPartitions("record", "chunk").select(_record_text().alias("value"))
@@ -119,63 +123,70 @@ def write_archives(pages: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES
 
 
 class _Reader:
-    """Follows the records through the bytes of a file; keeps a header and a digest, never a payload."""
+    """Follows the records of a file, given as what lies between its double line ends; keeps a header and a digest, never
+    a payload."""
 
     def __init__(self):
-        self.buffer, self.rest, self.gap = b"", 0, 0
-        self.record = self.http = None
+        self.rest = 0  # bytes of the segment still to come
+        self.gap = b""  # what the next piece has to start with, of the double line end behind a record
+        self.between = True  # the next piece is a header
+        self.record = self.segment = None
+        self.http = False
         self.done = []
 
-    def feed(self, data: bytes) -> list[tuple]:
-        self.buffer += data
-        while self._step():
-            pass
-        found, self.done = self.done, []
-        return found
-
-    def _step(self) -> bool:
-        if self.gap:  # the two line ends behind a record
-            if len(self.buffer) < self.gap:
-                return False
-            if self.buffer[: self.gap] != b"\r\n\r\n":
+    def take(self, piece) -> None:
+        """A piece and the double line end behind it."""
+        if self.gap is None:  # the whole double line end follows an empty piece
+            if len(piece):
                 raise ValueError("a record does not end where its Content-Length says")
-            self.buffer, self.gap = self.buffer[self.gap :], 0
-            return True
-        if self.rest:
-            if self.http is not None:  # the answer's header, in the first segment
-                end = self.buffer.find(b"\r\n\r\n")
-                if end < 0:
-                    return False
-                self.buffer, self.rest, self.http = self.buffer[end + 4 :], self.rest - end - 4, None
-            part = self.buffer[: self.rest]
-            self.record["sha"].update(part)
-            self.record["length"] += len(part)
-            self.buffer, self.rest = self.buffer[len(part) :], self.rest - len(part)
-            if self.rest:
-                return False
-            self._segment_ends()
-            return True
-        end = self.buffer.find(b"\r\n\r\n")
-        if end < 0:
-            return False
-        lines = self.buffer[:end].decode("utf-8", "replace").split("\r\n")
-        self.buffer = self.buffer[end + 4 :]
+            self.gap = b""
+            return
+        if self.gap:
+            if bytes(piece[: len(self.gap)]) != self.gap:
+                raise ValueError("a record does not end where its Content-Length says")
+            piece, self.gap = piece[len(self.gap) :], b""
+            if not len(piece):  # the end of the file
+                return
+        if self.between:
+            self._header(bytes(piece))
+            return
+        size = len(piece)
+        if self.http:  # the answer's own header ends with a double line end
+            self.http, self.rest = False, self.rest - size - len(_END)
+        elif self.rest >= size:
+            inside = min(self.rest - size, len(_END))  # of the double line end, still in the segment
+            self._hash(piece)
+            if inside:
+                self._hash(_END[:inside])
+            self.rest -= size + inside
+            if not self.rest and inside < len(_END):
+                self._segment_ends(_END[len(_END) - inside :])
+                return
+        else:
+            raise ValueError("a record does not end where its Content-Length says")
+        if not self.rest:
+            self._segment_ends(None)
+
+    def _hash(self, data) -> None:
+        self.record["sha"].update(data)
+        self.record["length"] += len(data)
+
+    def _header(self, text: bytes) -> None:
+        lines = text.decode("utf-8", "replace").split("\r\n")
         if lines[0] != "WARC/1.1":
             raise ValueError("not a WARC record")
         fields = dict(x.split(": ", 1) for x in lines[1:])
-        self.rest = int(fields["Content-Length"])
+        self.rest, self.between, self.segment = int(fields["Content-Length"]), False, fields
         if fields["WARC-Type"] != "continuation":
             self.record = {"fields": fields, "sha": hashlib.sha1(), "length": 0}
-            self.http = b"" if fields["WARC-Type"] == "response" else None
+            self.http = fields["WARC-Type"] == "response"
         elif self.record is None or fields["WARC-Segment-Origin-ID"] != self.record["fields"]["WARC-Record-ID"]:
             raise ValueError("a segment stands apart from its record")
-        self.segment = fields
         if not self.rest:
-            self._segment_ends()
-        return True
+            self._segment_ends(None)
 
-    def _segment_ends(self) -> None:
-        self.gap = 4
+    def _segment_ends(self, gap: bytes | None) -> None:
+        self.gap, self.between = gap, True
         if "WARC-Segment-Number" in self.segment and "WARC-Segment-Total-Length" not in self.segment:
             return
         fields, digest = self.record["fields"], self.record["sha"].hexdigest()
@@ -195,14 +206,16 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     def run(batches):
         reader = _Reader()
         for batch in batches:
-            found = reader.feed(b"\n".join(batch["value"].to_pylist()) + b"\n") if batch.num_rows else []
+            for piece in batch["value"]:
+                reader.take(memoryview(piece.as_buffer()))
+            found, reader.done = reader.done, []
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], kind) for k, kind in enumerate(kinds)], names)
-        if reader.record or reader.buffer:
+        if reader.record or reader.gap != b"":
             raise ValueError("the last record is not complete")
 
-    # Compressed files are read from start to end by one task each, so lines come in order.
-    lines = spark.read.option("lineSep", "\n").text(folder).select(F.col("value").cast("binary").alias("value"))
-    return lines.mapInArrow(run, "record_id string, page_id bigint, record_type string, payload_bytes bigint, payload_digest string, refers_to_record string")
+    # Compressed files are read from start to end by one task each, so pieces come in order; none is longer than a segment.
+    pieces = spark.read.option("lineSep", _END.decode()).text(folder).select(F.col("value").cast("binary").alias("value"))
+    return pieces.mapInArrow(run, "record_id string, page_id bigint, record_type string, payload_bytes bigint, payload_digest string, refers_to_record string")
 
 
 def resolved(records: DataFrame) -> DataFrame:

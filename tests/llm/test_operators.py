@@ -268,6 +268,36 @@ def test_warc_round_trip(spark, tmp_path):
     assert [c["digest"] for c in chunks][1] == hashlib.sha1(big.encode()[:2000]).hexdigest()
 
 
+def test_warc_payloads_that_end_like_records(spark, tmp_path):
+    ends = ["\r", "\n", "\r\n", "\r\n\r", "\r\n\r\n", "\n\r\n", "\r\r\n\r\n\r\n", ""]
+    rows = [(k * 10 + n, "u", "x" * n + e) for k, e in enumerate(ends) for n in (0, 1, 7, 8)]
+    for files, chunk_bytes in ((1, 4), (3, 1 << 16)):
+        pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+        folder = f"{tmp_path}/{files}"
+        warc.write_archives(pages, folder, chunk_bytes)
+        found = {r["page_id"]: (r["payload_bytes"], r["payload_digest"]) for r in warc.read_archives(spark, folder).collect()}
+        assert found == {i: (len(t), hashlib.sha1(t.encode()).hexdigest()) for i, _, t in rows}
+    for page_id, _, t in rows[::8]:  # as the last record of a file
+        warc.write_archives(pages.where(F.col("page_id") == page_id), f"{tmp_path}/last{page_id}", 4)
+        assert [r["payload_bytes"] for r in warc.read_archives(spark, f"{tmp_path}/last{page_id}").collect()] == [len(t)]
+
+
+def test_warc_of_an_empty_table(spark, tmp_path):
+    pages = spark.createDataFrame([], "page_id bigint, url string, html string")
+    warc.write_archives(pages, f"{tmp_path}/none")
+    assert warc.resolved(warc.read_archives(spark, f"{tmp_path}/none")).collect() == []
+
+
+def test_warc_refuses_broken_archives():
+    reader = warc._Reader()
+    with pytest.raises(ValueError):
+        reader.take(b"no header")
+    reader = warc._Reader()
+    reader.take(b"WARC/1.1\r\nWARC-Type: revisit\r\nWARC-Record-ID: r\r\nWARC-Payload-Digest: sha1:0\r\nContent-Length: 0")
+    with pytest.raises(ValueError):
+        reader.take(b"more")
+
+
 def test_top_k_equals_all_scores(spark):
     r = random.Random(3)
     rows = [(i, [r.choice([-0.5, 0.25, r.uniform(-1, 1)]) for _ in range(8)]) for i in range(0, 700)] + [(800, None), (801, [0.1, None]), (802, [float("nan")] * 8), (803, []), (None, [0.1] * 8), (900, [0.5] * 8), (900, [0.5] * 8), (950, [0.1, 0.2])]
