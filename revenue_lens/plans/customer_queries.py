@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,11 +10,12 @@ from revenue_lens.functions import heuristic_probability, risk_tier
 from revenue_lens.operators.cohorts import COHORTS, PERIODS, cohort_retention, cohort_retention_table
 from revenue_lens.operators.customers import customer_features, customer_features_at, purchase_gaps
 from revenue_lens.operators.rfm import add_rfm_segments, segment_profile, top_risk_decile
-from revenue_lens.operators.storage import materialize
+from revenue_lens.operators.storage import materialize, shared_folder
 from revenue_lens.operators.weekly import weekly_revenue
 from revenue_lens.plans import sql_parts as sql
 from revenue_lens.plans.catalog import query, with_ctes
 from revenue_lens.sources.orders import latest_order_date, orders_by_nation, purchases, tpch_orders
+from revenue_lens.streaming.customer_state import CustomerState
 
 
 def features_of(orders: DataFrame) -> DataFrame:
@@ -74,6 +76,20 @@ def q_customer_features(spark, sf_dir):
     return features_of(tpch_orders(spark, sf_dir))
 
 
+@query("customer_features_incremental", with_ctes(sql.O, sql.features("f", sql.AS_OF), select=f"SELECT {FEATURE_COLUMNS} FROM f"))
+def q_customer_features_incremental(spark, sf_dir):
+    """The features after the orders arrived in five batches, in no order of time, with a merge after every second one."""
+    orders = tpch_orders(spark, sf_dir)
+    last = latest_order_date(orders)
+    state = CustomerState(spark, f"{shared_folder(spark)}/customer_state/{uuid.uuid4().hex}")
+    write = state.writer()
+    for number in range(5):
+        write(orders.where(F.pmod(F.xxhash64("customer_id", "order_date", "revenue"), F.lit(5)) == number), number)
+        if number % 2:
+            state.merge(last)
+    return state.features(last)
+
+
 def _yearly(last: dt.date) -> list[dt.date]:
     return [last - dt.timedelta(days=365 * i) for i in range(6)]
 
