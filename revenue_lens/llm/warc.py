@@ -113,7 +113,7 @@ def _record_text() -> Column:
 def write_archives(pages: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES) -> None:
     """Write one record per row of ``pages(page_id, url, html)`` under ``folder``; the segments of a record follow
     each other in one file."""
-    chunks = materialize(chunked(pages, chunk_bytes))
+    chunks = materialize(chunked(pages, chunk_bytes), "zstd")
     size = chunks.where("chunk = chunks - 1").agg(F.sum("upto").alias("n")).first()["n"] or 0
     files = max(pages.sparkSession.sparkContext.defaultParallelism, -(-size // ARCHIVE_BYTES))
     kinds = decided(chunks.drop("data", "url")).withColumnRenamed("digest", "payload_digest")
