@@ -10,11 +10,16 @@ of those are the result.
 
 Nulls and empties: rows with a null vec_id, a null vector, or a null or non-finite component take no part, nor do
 empty vectors. Vectors meet only vectors of their own length. Rows that repeat a vec_id are rows of their
-own; rows with the query's vec_id are never its answers. Components of 2^20 and more are refused.
+own; rows with the query's vec_id are never its answers. Components of any finite size take part: sums are exact whole
+numbers of any length, and only an answer whose score does not fit into a long ends the query. Extra columns are not read.
+
+Queries are taken in slices of a bounded size, each broadcast to one pass over the index, of which no block is shuffled more
+than once a slice; where there are fewer blocks than cores, several tasks share a block and answer different queries.
 """
 
 from __future__ import annotations
 
+import json
 import math
 
 import numpy as np
@@ -29,8 +34,10 @@ SCALE = 256.0
 TOP = 5
 #: A block of the index: long bitmaps, so that each bitmap operation does much work, of bounded memory.
 BLOCK_ROWS, BLOCK_VALUES = 32768, 1 << 22
-QUERIES_PER_BLOCK = 256
-LIMIT = 2.0**20
+#: Values of the queries that are sent to all tasks at once.
+SLICE_VALUES = 1 << 23
+#: Whole numbers below this are kept in 64 bits.
+SMALL = 2.0**61
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
@@ -39,6 +46,14 @@ def _usable(vectors: DataFrame) -> DataFrame:
     return vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), vec.alias("vec")).where(F.col("vec_id").isNotNull() & (F.size(vec) > 0) & finite)
 
 
+def _whole(vector: np.ndarray) -> np.ndarray:
+    """floor(256 * x) of each component, as Python integers where 64 bits may not hold them or their differences."""
+    scaled = np.floor(SCALE * vector)
+    if np.abs(scaled).max() < SMALL:
+        return scaled.astype(np.int64)
+    return np.array([int(v) for v in scaled.tolist()], object)
+
+
 def _blocks_of(rows: int, pack, names: list[str]):
     """A mapInArrow function: vectors of one length, ``rows`` at a time (fewer if they are long), through
     ``pack(ids, values)``."""
@@ -48,11 +63,9 @@ def _blocks_of(rows: int, pack, names: list[str]):
         for batch in batches:
             for key, vec in zip(batch["vec_id"].to_pylist(), batch["vec"]):
                 x = vec.values.to_numpy()
-                if np.abs(x).max() >= LIMIT:
-                    raise ValueError(f"vector {key} has a component of {LIMIT:g} or more")
                 ids, vectors = waiting.setdefault(len(x), ([], []))
                 ids.append(key)
-                vectors.append(np.floor(SCALE * x).astype(np.int64))
+                vectors.append(_whole(x))
                 if len(ids) >= min(rows, max(64, BLOCK_VALUES // len(x))):
                     yield _row(pack(np.array(ids, np.int64), np.array(vectors)), names)
                     del waiting[len(x)]
@@ -74,10 +87,10 @@ def _sliced(ids: np.ndarray, values: np.ndarray) -> list:
     above = values - low
     bits = max(1, int(above.max()).bit_length())
     width = -(-len(ids) // 64) * 64
-    padded = np.zeros((width, values.shape[1]), np.int64)
+    padded = np.zeros((width, values.shape[1]), above.dtype)
     padded[: len(ids)] = above
-    slices = np.stack([np.packbits((padded.T >> b) & 1, axis=1, bitorder="little") for b in range(bits)], axis=1)
-    return [values.shape[1], bits, ids.tobytes(), low.tobytes(), slices.tobytes()]
+    slices = np.stack([np.packbits(((padded.T >> b) & 1).astype(np.uint8), axis=1, bitorder="little") for b in range(bits)], axis=1)
+    return [values.shape[1], bits, ids.tobytes(), json.dumps([int(v) for v in low]), slices.tobytes()]
 
 
 def index(vectors: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
@@ -88,7 +101,7 @@ def index(vectors: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
     room = F.least(F.lit(rows), F.greatest(F.lit(64), F.floor(BLOCK_VALUES / F.size("vec"))))
     blocks = usable.agg(F.coalesce(F.sum(1 / room), F.lit(0.0))).first()[0]
     parts = max(1, math.ceil(blocks * 20 / 19))
-    return materialize(usable.repartition(parts).mapInArrow(_blocks_of(rows, _sliced, names), "dims bigint, bits bigint, ids binary, lows binary, slices binary"))
+    return materialize(usable.repartition(parts).mapInArrow(_blocks_of(rows, _sliced, names), "dims bigint, bits bigint, ids binary, lows string, slices binary"))
 
 
 def _add(total: list, slices: list, shift: int) -> None:
@@ -111,13 +124,13 @@ def _add(total: list, slices: list, shift: int) -> None:
         k += 1
 
 
-def weighted_sum(weights: np.ndarray, slices: np.ndarray) -> tuple[list, int]:
+def weighted_sum(weights: list[int], slices: np.ndarray) -> tuple[list, int]:
     """Slices of the sum of w * u up to a constant, and that constant; (dimension, bit, words). Weights are taken in
     signed digits, no two neighbours of which are set: a digit of -1 adds the complement, -u = (top - u) - top."""
     total: list = []
     constant, top = 0, (1 << slices.shape[1]) - 1
     inverse = ~slices
-    for w, plain, flipped in zip(weights.tolist(), slices, inverse):
+    for w, plain, flipped in zip(weights, slices, inverse):
         bit = 0
         while w:
             if w & 1:
@@ -146,50 +159,61 @@ def best_rows(total: list, allowed: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate([number(sure), number(maybe)[:missing]])
 
 
-def _search(block: dict, queries: dict, k: int) -> list[tuple[int, int, int]]:
+def _search(block: dict, queries: list[tuple[int, list[int]]], k: int) -> list[tuple[int, int, int]]:
     ids = np.frombuffer(block["ids"], np.int64)
     dims, bits = block["dims"], block["bits"]
     slices = np.frombuffer(block["slices"], np.uint8).reshape(dims, bits, -1).view(np.uint64)
-    lows = np.frombuffer(block["lows"], np.int64)
+    lows = json.loads(block["lows"])
     every = np.packbits(np.arange(slices.shape[2] * 64) < len(ids), bitorder="little").view(np.uint64)
     found = []
-    query_ids = np.frombuffer(queries["ids"], np.int64)
-    for key, weights in zip(query_ids.tolist(), np.frombuffer(queries["vectors"], np.int64).reshape(-1, dims)):
+    for key, weights in queries:
         own = slice(np.searchsorted(ids, key), np.searchsorted(ids, key, side="right"))
         allowed = every
         if own.stop > own.start:
             flags = np.arange(slices.shape[2] * 64)
             allowed = every & ~np.packbits((flags >= own.start) & (flags < own.stop), bitorder="little").view(np.uint64)
         total, constant = weighted_sum(weights, slices)
-        constant += int(weights @ lows)
+        constant += sum(w * low for w, low in zip(weights, lows))
         for r in best_rows(total, allowed, k).tolist():
             word, bit = divmod(r, 64)
-            value = sum(1 << p for p, s in enumerate(total) if s is not None and int(s[word]) >> bit & 1)
-            found.append((key, int(ids[r]), value + constant))
+            value = constant + sum(1 << p for p, s in enumerate(total) if s is not None and int(s[word]) >> bit & 1)
+            if not -(2**63) <= value < 2**63:
+                raise OverflowError(f"the score of {key} and {int(ids[r])} does not fit into a long")
+            found.append((key, int(ids[r]), value))
     return found
 
 
-def top_k(blocks: DataFrame, queries: DataFrame, k: int = TOP, queries_per_block: int = QUERIES_PER_BLOCK) -> DataFrame:
+def top_k(blocks: DataFrame, queries: DataFrame, k: int = TOP, slice_values: int = SLICE_VALUES) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best rows of the index ``blocks`` for ``queries(vec_id, embedding)``."""
+    context = blocks.sparkSession.sparkContext
     usable = materialize(_usable(queries))
-    count = usable.count()
-    parts = max(1, -(-count // queries_per_block))
-    pack = lambda ids, values: [values.shape[1], ids.tobytes(), values.tobytes()]
-    asked = usable.repartition(parts).mapInArrow(_blocks_of(queries_per_block, pack, ["dims", "ids", "vectors"]), "dims bigint, ids binary, vectors binary")
-    asked = materialize(asked.withColumn("q", F.monotonically_increasing_id()))
-    # Every block of the index meets every block of queries of its length: blocks, not rows.
-    per_dims = asked.groupBy("dims").agg(F.collect_list("q").alias("qs"))  # a number per query block
-    pairs = blocks.withColumnRenamed("ids", "row_ids").join(per_dims, "dims").withColumn("q", F.explode("qs")).drop("qs")
-    pairs = pairs.join(asked.drop("dims").withColumnRenamed("ids", "query_ids"), "q")
-
-    def run(batches):
-        for batch in batches:
-            for r in range(batch.num_rows):
-                row = {c: batch[c][r].as_py() for c in batch.schema.names}
-                found = _search({**row, "ids": row["row_ids"]}, {"ids": row["query_ids"], "vectors": row["vectors"]}, k)
-                yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in found], pa.int64()) for j in range(3)], ["query_id", "vec_id", "score"])
-
-    proposed = pairs.select("dims", "bits", "row_ids", "lows", "slices", "query_ids", "vectors").mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    values = usable.agg(F.sum(F.size("vec"))).first()[0] or 0
+    slices = max(1, -(-values // slice_values))
+    shares = max(1, -(-2 * context.defaultParallelism // max(1, blocks.count())))
+    cells = blocks.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+
+    def answers(asked):
+        def run(batches):
+            for batch in batches:
+                for r in range(batch.num_rows):
+                    row = {c: batch[c][r].as_py() for c in batch.schema.names}
+                    found = _search(row, asked.value.get(row["dims"], [])[row["share"] :: shares], k)
+                    yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in found], pa.int64()) for j in range(3)], ["query_id", "vec_id", "score"])
+
+        return run
+
+    proposed = None
+    for number in range(slices):
+        part = usable.where(F.pmod(F.xxhash64("vec_id", F.lit("slice")), F.lit(slices)) == number).toArrow()  # of bounded size
+        by_length: dict[int, list] = {}
+        for key, vec in zip(part["vec_id"].to_pylist(), part["vec"]):
+            weights = _whole(vec.values.to_numpy()).tolist()
+            by_length.setdefault(len(weights), []).append((key, weights))
+        asked = context.broadcast(by_length)
+        dealt = cells.repartition(2 * context.defaultParallelism, F.xxhash64("ids", "dims"), "share") if shares > 1 else cells
+        found = dealt.mapInArrow(answers(asked), "query_id bigint, vec_id bigint, score bigint")
+        found = materialize(found) if slices > 1 else found  # a slice's queries leave the workers before the next
+        proposed = found if proposed is None else proposed.unionByName(found)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return proposed.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -302,7 +302,7 @@ def test_top_k_equals_all_scores(spark):
     r = random.Random(3)
     rows = [(i, [r.choice([-0.5, 0.25, r.uniform(-1, 1)]) for _ in range(8)]) for i in range(0, 700)] + [(800, None), (801, [0.1, None]), (802, [float("nan")] * 8), (803, []), (None, [0.1] * 8), (900, [0.5] * 8), (900, [0.5] * 8), (950, [0.1, 0.2])]
     vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn("q", F.lit(1))
-    found = bit_sliced.top_k(bit_sliced.index(vectors, 64), vectors.where("vec_id % 50 = 0"), 5, 4)
+    found = bit_sliced.top_k(bit_sliced.index(vectors, 64), vectors.where("vec_id % 50 = 0"), 5)
     import numpy as np
 
     whole = [(i, np.floor(256 * np.array(v, np.float32).astype(float)).astype(int)) for i, v in rows if i is not None and v and None not in v and v[0] == v[0]]
@@ -312,8 +312,32 @@ def test_top_k_equals_all_scores(spark):
             scores = sorted(((-int(v @ u), i) for i, u in whole if i != q and len(u) == len(v)))[:5]
             want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)]
     assert set(map(tuple, found.collect())) >= {w for w in want if w[0] != 900}
-    with pytest.raises(Exception, match="component"):
-        bit_sliced.index(spark.createDataFrame([(1, [2e6])], "vec_id bigint, embedding array<double>"))
+    sliced = bit_sliced.top_k(bit_sliced.index(vectors, 64), vectors.where("vec_id % 50 = 0"), 5, 40)  # several slices of queries
+    assert sorted(map(tuple, sliced.collect())) == sorted(map(tuple, found.collect()))
+
+
+def test_top_k_of_large_components(spark):
+    r = random.Random(9)
+    rows = [(i, [r.uniform(-5e6, 5e6), r.choice([0.0, 5e6, -3e6]), r.uniform(-1, 1)]) for i in range(120)]
+    rows += [(200, [0.0, 0.0, 1e16]), (250, [0.0, 0.0, 0.004]), (201, [0.0, 0.0, -1e16])]
+    queries = {i: v for i, v in rows if i in (0, 50, 100, 250)}
+    whole = {i: [int(x) for x in (256 * y // 1 for y in v)] for i, v in rows}
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    small = vectors.where("abs(embedding[2]) < 1e10")
+    want = []
+    for q in queries:
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q and (i < 200 or q == 250))[:5]
+        want += [(q, k, i, -s) for k, (s, i) in enumerate(scores, 1)]
+    found = [tuple(x) for x in bit_sliced.top_k(bit_sliced.index(small.where("vec_id < 200"), 64), small.where("vec_id IN (0, 50, 100)")).collect()]
+    found += [tuple(x) for x in bit_sliced.top_k(bit_sliced.index(vectors, 64), vectors.where("vec_id = 250")).collect()]
+    assert sorted(found) == sorted(want)
+    with pytest.raises(Exception, match="does not fit"):
+        bit_sliced.top_k(bit_sliced.index(vectors), vectors.where("vec_id = 200")).collect()
+
+
+def test_top_k_of_an_empty_table(spark):
+    none = spark.createDataFrame([], "vec_id bigint, embedding array<double>")
+    assert bit_sliced.top_k(bit_sliced.index(none), none).collect() == []
 
 
 def test_reply_paths(spark):
