@@ -8,8 +8,10 @@ multivariate hypergeometric draw, so the shards are distributed as if all drawn
 together and cut into equal parts. The order of a source, cut at its quotas, gives every shard disjoint
 blocks, which are shuffled inside the shard. Only DataFrame functions are used.
 
-What a source takes is within half a block of its target. Quotas are one array with a number per source for
-each node of the tree; nothing else is gathered.
+What a source takes is within half a block of its target; it is what the shards hold, so a draw that no shard has room
+for would be missing. There are as many shards as the drawn words ask for, each a partition of the result. Quotas are one
+array with a number per source for each node of the tree, and one with a number per shard for each source; nothing
+else is gathered, and a draw finds its shard by halving.
 
 Nulls and empties: null and empty texts have size 0 and take nothing; a null source is a source of its own and
 comes last; a null doc_id is like any other. Rows that repeat everything have blocks of their own, and which of
@@ -18,6 +20,8 @@ them is drawn more often is arbitrary. An empty table gives an empty mix. Other
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +32,8 @@ from revenue_lens.operators.storage import materialize
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE, MOST = 1.5, 2.0
 BLOCK_WORDS = 256
-SHARDS = 64
+#: Drawn words of an output shard, some 50 MB of text.
+SHARD_WORDS = 1 << 23
 #: Blocks of a source that are put in order in one group.
 BUCKET_BLOCKS = 4096
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -108,12 +113,14 @@ def hypergeometric(population: Column, good: Column, draws: Column, u: Column) -
 
 def _first_draws(quotas: Column, draws: Column, *keys: Column) -> Column:
     """A multivariate hypergeometric draw: how many of each source are among ``draws``."""
-    total = lambda a: F.aggregate(a, F.lit(0).cast("bigint"), lambda x, y: x + y)
-    start = F.struct(total(quotas).alias("left"), draws.cast("bigint").alias("draws"), F.array().cast("array<bigint>").alias("out"))
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(F.aggregate(quotas, zero, lambda x, y: x + y).alias("population"), draws.cast("bigint").alias("draws"), F.array().cast("array<bigint>").alias("out"))
 
     def step(acc, quota):
-        x = hypergeometric(acc["left"], quota, acc["draws"] - total(acc["out"]), _uniform(*keys, F.size(acc["out"])))
-        return F.struct((acc["left"] - quota).alias("left"), acc["draws"].alias("draws"), F.concat(acc["out"], F.array(x)).alias("out"))
+        # One element, so that the draw is computed once and both the rest and the list take it.
+        drawn = F.array(hypergeometric(acc["population"], quota, acc["draws"], _uniform(*keys, F.size(acc["out"]))))
+        after = F.transform(drawn, lambda x: F.struct((acc["population"] - quota).alias("population"), (acc["draws"] - x).alias("draws"), F.concat(acc["out"], F.array(x)).alias("out")))
+        return F.get(after, F.lit(0))
 
     return F.aggregate(quotas, start, step, lambda acc: acc["out"])
 
@@ -162,34 +169,59 @@ def _placed(sizes: DataFrame, goals: DataFrame, seed: int) -> DataFrame:
     )
 
 
-def mix(sizes: DataFrame, goals: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFrame:
+def _shard_of(ends: Column, draw: Column, shards: int) -> Column:
+    """The first shard whose end lies beyond ``draw``; ``shards`` if none does."""
+    start = F.struct(F.lit(0).alias("low"), F.lit(shards).alias("high"))
+
+    def halve(acc, _):
+        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        beyond = F.get(ends, middle) > draw
+        low = F.when(~beyond & (acc["low"] < acc["high"]), middle + 1).otherwise(acc["low"])
+        return F.struct(low.alias("low"), F.when(beyond, F.least(middle, acc["high"])).otherwise(acc["high"]).alias("high"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(shards.bit_length())), start, halve, lambda acc: acc["low"])
+
+
+def shards_of(goals: DataFrame) -> int:
+    """Shards that the targets ask for."""
+    words = goals.agg(F.sum("target")).first()[0] or 0.0
+    return max(1, math.ceil(words / SHARD_WORDS))
+
+
+def mix(sizes: DataFrame, goals: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     """(row_id, block, words, copy, shard, mix_key): a row per drawn block; inside a shard, ``mix_key`` is the order."""
     placed = _placed(sizes, goals, seed)
     quotas = goals.select("sid").join(placed.groupBy("sid").agg(F.sum("copies").alias("quota")), "sid", "left").select("sid", F.coalesce("quota", F.lit(0).cast("bigint")).alias("quota"))
     ends = split_quotas(quotas, shards, seed)
     draws = placed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1))).withColumn("draw", F.col("copy") * F.col("blocks") + F.col("place"))
-    shard = F.size(F.filter("ends", lambda x: x <= F.col("draw")))
-    return draws.join(ends, "sid").select("row_id", "block", "words", "copy", shard.alias("shard"), F.xxhash64(F.lit(seed + 1), "sid", "draw").alias("mix_key"))
+    dealt = draws.join(ends, "sid").withColumn("shard", _shard_of(F.col("ends"), F.col("draw"), shards)).where(F.col("shard") < shards)
+    return dealt.select("row_id", "block", "words", "copy", "shard", F.xxhash64(F.lit(seed + 1), "sid", "draw").alias("mix_key"))
 
 
-def mixed_sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) per row of ``docs(doc_id, text, source, ...)``."""
+def mixed_sizes(docs: DataFrame, shards: int | None = None) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, shard_words) per row of ``docs(doc_id, text, source, ...)``; ``shard_words``
+    lists the words that each shard holds of it."""
     sizes = sized(docs)
     goals = materialize(targets(sizes))
-    taken = mix(sizes, goals).groupBy("row_id").agg(F.sum("words").alias("taken"))
+    drawn = mix(sizes, goals, shards or shards_of(goals)).groupBy("row_id", "shard").agg(F.sum("words").alias("words"))
+    parts = F.array_sort(F.collect_list(F.struct("shard", "words"))).alias("shard_words")  # at most twice the blocks of one document
+    taken = drawn.groupBy("row_id").agg(F.sum("words").alias("taken"), parts)
     per_source = goals.select(F.col("source").alias("of"), "source_size", "target")
     rows = sizes.join(per_source, F.col("source").eqNullSafe(F.col("of"))).join(taken, "row_id", "left")
-    return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken"))
+    none = F.array().cast("array<struct<shard:int,words:bigint>>")
+    return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken"), F.coalesce("shard_words", none).alias("shard_words"))
 
 
-def mixed_texts(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+def mixed_texts(docs: DataFrame, shards: int | None = None) -> DataFrame:
     """(shard, mix_key, doc_id, source, copy, block, words, text): the mix itself, shard by shard in its order.
 
     Word ``i`` of a document comes with the white space behind it, so the blocks of a document,
     put together, are its text from its first word on.
     """
     sizes = sized(docs)
-    drawn = mix(sizes, materialize(targets(sizes)), shards)
+    goals = materialize(targets(sizes))
+    shards = shards or shards_of(goals)
+    drawn = mix(sizes, goals, shards)
     per_row = drawn.groupBy("row_id").agg(F.collect_list(F.struct("shard", "mix_key", "copy", "block", "words")).alias("draws"))  # at most twice the blocks of one document
     wanted = sizes.join(per_row, "row_id").groupBy("doc_id", "source", "th").agg(F.flatten(F.collect_list("draws")).alias("draws"))
     text = docs.select(F.col("doc_id").alias("id"), F.col("source").cast("string").alias("of"), F.col("text").cast("string").alias("text")).withColumn("hash", F.xxhash64("text"))
@@ -201,9 +233,11 @@ def mixed_texts(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     split = wanted.join(text, match).select("doc_id", "source", "draws", F.inline(F.array(F.struct(pieces.alias("pieces")))))
     cut = F.transform("draws", lambda d: F.struct(d["shard"], d["mix_key"], d["copy"], d["block"], d["words"], F.array_join(F.slice("pieces", (d["block"] * BLOCK_WORDS + 1).cast("int"), BLOCK_WORDS), "").alias("text")))
     rows = split.select("doc_id", "source", F.inline(cut).alias("shard", "mix_key", "copy", "block", "words", "text"))
-    return rows.select("shard", "mix_key", "doc_id", "source", "copy", "block", "words", "text").repartition("shard").sortWithinPartitions("shard", "mix_key")
+    return rows.select("shard", "mix_key", "doc_id", "source", "copy", "block", "words", "text").repartitionById(shards, F.col("shard")).sortWithinPartitions("mix_key")
 
 
 @query("op9_source_mix")
 def op9_source_mix(spark, sf_dir) -> DataFrame:
-    return mixed_sizes(table(spark, sf_dir, "documents"))
+    """``shard_words`` as text: shard:words of every shard that holds words of the document."""
+    parts = F.transform("shard_words", lambda x: F.concat_ws(":", x["shard"].cast("string"), x["words"].cast("string")))
+    return mixed_sizes(table(spark, sf_dir, "documents")).withColumn("shard_words", F.array_join(parts, " "))

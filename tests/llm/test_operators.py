@@ -160,7 +160,7 @@ def test_mix(make_docs):
         taken[source[r["doc_id"]]] += r["taken"]
     assert all(abs(taken[s] - target[s]) <= source_mix.BLOCK_WORDS for s in order)
     again = source_mix.mixed_sizes(docs.repartition(5)).collect()
-    assert Counter(map(tuple, again)) == Counter(map(tuple, found))
+    assert Counter(map(repr, again)) == Counter(map(repr, found))
     assert source_mix.mixed_sizes(make_docs([])).collect() == []
 
 
@@ -174,6 +174,32 @@ def test_mixed_texts_hold_what_is_taken(make_docs):
     assert len({(p["doc_id"], p["copy"], p["block"]) for p in pieces}) == len(pieces)
 
 
+@pytest.mark.parametrize("shards", [1, 5])
+def test_the_shards_hold_what_is_taken(make_docs, shards):
+    rows = [(i, " ".join(prose(i, 20 + 97 * i % 2000)), "en", f"s{i % 3}") for i in range(60)]
+    found = source_mix.mixed_sizes(make_docs(rows), shards).collect()
+    per_shard = Counter()
+    for r in found:
+        assert r["taken"] == sum(x["words"] for x in r["shard_words"]) and len({x["shard"] for x in r["shard_words"]}) == len(r["shard_words"])
+        per_shard.update({x["shard"]: x["words"] for x in r["shard_words"]})
+    assert set(per_shard) == set(range(shards))
+    assert {r["doc_id"]: r["taken"] for r in found} == {r["doc_id"]: r["taken"] for r in source_mix.mixed_sizes(make_docs(rows), 7).collect()}
+
+
+def test_shard_of_a_draw(spark):
+    ends = [0, 3, 3, 10, 11]
+    rows = spark.range(13).select("id", source_mix._shard_of(F.array(*[F.lit(e).cast("bigint") for e in ends]), F.col("id"), len(ends)).alias("s")).collect()
+    assert {r["id"]: r["s"] for r in rows} == {k: next((j for j, e in enumerate(ends) if e > k), len(ends)) for k in range(13)}
+
+
+def test_a_tree_over_many_sources(spark):
+    quotas = {k: 1 + k * 7 % 40 for k in range(2000)}
+    ends = {r["sid"]: r["ends"] for r in source_mix.split_quotas(spark.createDataFrame(list(quotas.items()), "sid int, quota bigint"), 3).collect()}
+    assert {s: e[-1] for s, e in ends.items()} == quotas
+    per_shard = [sum(e[j] - (e[j - 1] if j else 0) for e in ends.values()) for j in range(3)]
+    assert max(per_shard) - min(per_shard) <= 1
+
+
 def test_split_quotas_adds_up(spark):
     quotas = {0: 1000, 1: 0, 2: 37, 3: 5000}
     for shards in (1, 3, 8):
