@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
-
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from revenue_lens.operators.lloyd import Centres, k_means
 from revenue_lens.operators.rfm import SEGMENTS
 from revenue_lens.operators.storage import materialize
 from revenue_lens.settings import BEHAVIOUR_FEATURES, SEED
@@ -34,23 +31,13 @@ def silhouette(df: DataFrame, label: str = CLUSTER) -> float | None:
     return ClusteringEvaluator(featuresCol="x", predictionCol=label, metricName="silhouette").evaluate(df)
 
 
-def _best_of(points: DataFrame, k: int, seeds: list[int], pool: ThreadPool) -> KMeansModel:
-    def fit(seed: int) -> KMeansModel:
-        return KMeans(featuresCol="x", predictionCol=CLUSTER, k=k, seed=seed).fit(points)
-
-    target = inheritable_thread_target(points.sparkSession)(fit)
-    return min(pool.map(target, seeds), key=lambda m: m.summary.trainingCost)
-
-
-def kmeans_by_k(points: DataFrame, k_min: int = 3, k_max: int = 8, seed: int = SEED, n_init: int = 10, parallelism: int = 8):
-    """{k: (best model of n_init starts, silhouette)}; k not below the row count is skipped.
-
-    The starts are independent Spark jobs, submitted side by side.
-    """
+def kmeans_by_k(points: DataFrame, k_min: int = 3, k_max: int = 8, seed: int = SEED, n_init: int = 10) -> dict[int, tuple[Centres, float | None]]:
+    """{k: (best model of n_init starts, silhouette)}; k not below the row count is skipped. All starts of all k take their
+    steps in the same jobs."""
     rows = points.count()
-    with ThreadPool(parallelism) as pool:
-        models = {k: _best_of(points, k, [seed + i for i in range(n_init)], pool) for k in range(k_min, k_max + 1) if k < rows}
-    return {k: (m, silhouette(m.transform(points)) if rows else None) for k, m in models.items()}
+    starts = {k: n_init for k in range(k_min, k_max + 1) if k < rows}
+    models = k_means(points, starts, seed) if starts else {}
+    return {k: (m, silhouette(m.transform(points, cluster=CLUSTER))) for k, m in sorted(models.items())}
 
 
 def kmeans_segmentation(
@@ -63,7 +50,7 @@ def kmeans_segmentation(
     if not scores:
         return customers.withColumn(CLUSTER, F.lit(MISSING_CLUSTER)), {"best_k": k_min, "silhouette_by_k": {}}
     best_k = max(scores, key=lambda k: (scores[k], -k))
-    clustered = found[best_k][0].transform(points).drop("x")
+    clustered = found[best_k][0].transform(points, cluster=CLUSTER).drop("x")
     incomplete = customers.where(" OR ".join(f"{c} IS NULL" for c in features)).withColumn(CLUSTER, F.lit(MISSING_CLUSTER))
     meta = {"best_k": best_k, "silhouette_by_k": scores, "silhouette_chosen": scores[best_k]}
     return clustered.unionByName(incomplete), meta

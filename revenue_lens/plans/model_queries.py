@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import numpy as np
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revenue_lens.functions.scoring import HEURISTIC_WEIGHTS
-from revenue_lens.operators import attribution, boosting, churn, segments, survival
+from revenue_lens.operators import attribution, boosting, churn, lloyd, segments, survival
 from revenue_lens.operators.accuracy import forecast_metrics
 from revenue_lens.operators.customers import customer_features
 from revenue_lens.operators.forecasting import baseline_forecasts, best_model, split_series, weekly_series
@@ -368,6 +370,33 @@ def q_kmeans_segments(spark, sf_dir):
     return segments.kmeans_segmentation(features_now(spark, sf_dir))[0].select("customer_id", segments.CLUSTER)
 
 
+_SZ = ", ".join(f"({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () AS z{i}" for i, c in enumerate(BEHAVIOUR_FEATURES))
+_N = range(len(BEHAVIOUR_FEATURES))
+
+
+@query(
+    "kmeans_step",
+    with_ctes(
+        *RFM,
+        f"z AS (SELECT customer_id, rfm_segment, {_SZ} FROM r)",
+        f"ce AS (SELECT list_position({SEGMENTS!r}, rfm_segment) AS c, {', '.join(f'avg(z{i}) AS m{i}' for i in _N)} FROM z GROUP BY rfm_segment)",
+        f"di AS (SELECT customer_id, c, {', '.join(f'z{i}' for i in _N)}, {' + '.join(f'(z{i} - m{i}) ** 2' for i in _N)} AS d FROM z CROSS JOIN ce)",
+        "ne AS (SELECT * FROM di QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY d, c) = 1)",
+        select=f"SELECT c::INTEGER AS cluster, count(*) AS n, round(sum(d), 6) AS cost, {', '.join(f'round(avg(z{i}), 6) AS centre_{c}' for i, c in enumerate(BEHAVIOUR_FEATURES))} FROM ne GROUP BY c",
+    ),
+)
+def q_kmeans_step(spark, sf_dir):
+    """One step from the centres of the RFM segments: points, cost and the next centres."""
+    points = segments.standardised(rfm_now(spark, sf_dir)).select("rfm_segment", vector_to_array("x").alias("x"))
+    stored = materialize(points)
+    number = F.array_position(F.array(*[F.lit(s) for s in SEGMENTS]), F.col("rfm_segment")).cast("int")
+    means = stored.groupBy(number.alias("c")).agg(*[F.avg(F.get("x", F.lit(i))).alias(f"m{i}") for i in _N]).orderBy("c").collect()  # a row per segment
+    step = lloyd.lloyd_sums(stored.select("x"), {0: np.array([[r[f"m{i}"] for i in _N] for r in means])})
+    named = F.get(F.array(*[F.lit(r["c"]) for r in means]), F.col("cluster")).alias("cluster")
+    centre = [F.round(F.get("sums", F.lit(i)) / F.col("n"), 6).alias(f"centre_{c}") for i, c in enumerate(BEHAVIOUR_FEATURES)]
+    return step.select(named, "n", F.round("cost", 6).alias("cost"), *centre)
+
+
 @query("silhouette_by_k")
 def q_silhouette_by_k(spark, sf_dir):
     points = materialize(segments.standardised(features_now(spark, sf_dir)))
