@@ -110,20 +110,43 @@ def _kolmogorov_tail(x: Column, terms: int = 40) -> Column:
     return F.when(x < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series)))
 
 
+#: Sizes n * m up to which the p-value counts paths, exactly; above it the large-sample series is used.
+EXACT_CELLS = 10_000
+
+
+def _exact_tail(n: Column, m: Column, distance: Column) -> Column:
+    """P(D >= distance) for samples of ``n`` and ``m``: one less the chance that a random path from (0, 0) to (n, m), which takes
+    the merged ranks in turn, stays closer to the diagonal than that.
+
+    The chance of being inside up to (i, j) is a mean of those of its two predecessors; one row over j is kept and folded over i.
+    """
+    bound = F.round(distance * n * m).cast("bigint")
+    zero = F.lit(0).cast("bigint")
+
+    def row(above, i):
+        def cell(out, j):
+            from_above, from_left = F.coalesce(F.get(above, j.cast("int")), F.lit(0.0)), F.coalesce(F.get(out, j.cast("int") - 1), F.lit(0.0))
+            share = F.when(i + j == 0, 1.0).otherwise((from_above * i + from_left * j) / (i + j))
+            return F.concat(out, F.array(F.when(F.abs(i * m - j * n) < bound, share).otherwise(0.0)))
+
+        return F.aggregate(F.sequence(zero, m), F.array().cast("array<double>"), cell)
+
+    inside = F.aggregate(F.sequence(zero, n), F.array().cast("array<double>"), row)
+    return F.greatest(F.lit(0.0), 1.0 - F.element_at(inside, -1))
+
+
 def ks(samples: DataFrame) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov statistic per feature and its large-sample p-value."""
+    """Two-sample Kolmogorov-Smirnov statistic per feature and its p-value: exact for small samples, else for large ones."""
     by_value = samples.groupBy("feature", "value").agg(
         F.count(F.when(~F.col("is_current"), 1)).alias("b"), F.count(F.when(F.col("is_current"), 1)).alias("c")
     )
     totals = running_totals(by_value, "feature", "value", ["b", "c"])
     distance = F.abs(F.col("cum_b") / F.col("all_b") - F.col("cum_c") / F.col("all_c"))
-    n, m = F.first("all_b"), F.first("all_c")
-    return (
-        totals.groupBy("feature")
-        .agg(F.max(distance).alias("ks_stat"), (n * m / (n + m)).alias("_size"))
-        .withColumn("p_value", _kolmogorov_tail(F.sqrt("_size") * F.col("ks_stat")))
-        .drop("_size")
-    )
+    found = totals.groupBy("feature").agg(F.max(distance).alias("ks_stat"), F.first("all_b").alias("_n"), F.first("all_c").alias("_m"))
+    n, m = F.col("_n"), F.col("_m")
+    large = _kolmogorov_tail(F.sqrt(n * m / (n + m)) * F.col("ks_stat"))
+    p = F.when((n > 0) & (m > 0) & (n * m <= EXACT_CELLS), _exact_tail(n, m, F.col("ks_stat"))).otherwise(large)
+    return found.select("feature", "ks_stat", p.alias("p_value"))
 
 
 def alert_level(value: Column) -> Column:
@@ -143,6 +166,11 @@ def drift_report(baseline: DataFrame, current: DataFrame, features: list[str] =
     )
 
 
+def psi_report(baseline: DataFrame, current: DataFrame, features: list[str] = DRIFT_FEATURES) -> DataFrame:
+    """(feature, psi, alert_level): what the summary needs of the report, from ten bins per feature."""
+    return psi(both_samples(baseline, current, features)).withColumn("alert_level", alert_level(F.col("psi")))
+
+
 def drift_summary(report: DataFrame) -> DataFrame:
     """Largest PSI and highest level; 0 and OK when nothing was checked."""
     ordinal = F.array_position(F.array(*[F.lit(x) for x in LEVEL_ORDER]), F.col("alert_level"))

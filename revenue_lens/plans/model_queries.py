@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +15,7 @@ from revenue_lens.operators.forecasting import baseline_forecasts, best_model, s
 from revenue_lens.operators.ranking_metrics import calibration, leaderboard, ranking_metrics
 from revenue_lens.operators.regression import profit_drivers
 from revenue_lens.operators.rfm import SEGMENTS, add_rfm_segments
-from revenue_lens.operators.storage import materialize
+from revenue_lens.operators.storage import materialize, shared_folder
 from revenue_lens.plans import sql_parts as sql
 from revenue_lens.plans.catalog import query, with_ctes
 from revenue_lens.plans.customer_queries import features_now, features_of, rfm_now, scored_now
@@ -445,6 +447,46 @@ def q_customers_dim(spark, sf_dir):
     return exports.customers_dim(banded(add_rfm_segments(materialize(customer_features(orders, as_of)))), as_of)
 
 
+@query("export_round_trip", with_ctes(*RFM, select=f"""SELECT customer_id, first_purchase, last_purchase, recency_days, frequency_365d, monetary_365d, tenure_days,
+  rfm_segment, least(frequency_365d, 5)::INTEGER AS kmeans_cluster, churned, clv_proxy, strftime({sql.AS_OF}, '%Y-%m-%d') AS as_of_date FROM r"""))
+def q_export_round_trip(spark, sf_dir):
+    """The customer dimension as read back from the files of a star-schema export."""
+    orders = tpch_orders(spark, sf_dir)
+    as_of = latest_order_date(orders)
+    customers = scored_now(banded(add_rfm_segments(materialize(customer_features(orders, as_of))))).withColumnRenamed("churn_probability", "churn_prob")
+    folder = f"{shared_folder(spark)}/export/{uuid.uuid4().hex}"
+    dim = exports.customers_dim(customers, as_of)
+    exports.write_star_schema(dim, exports.orders_fact(orders), exports.model_scores_fact(customers, None, as_of, None, None), folder)
+    return spark.read.schema(dim.schema).parquet(f"{folder}/customers_dim.parquet")
+
+
+@query("export_csv", with_ctes(sql.O, select="SELECT customer_id, strftime(order_date, '%Y-%m-%d') AS order_date, revenue, category FROM o"))
+def q_export_csv(spark, sf_dir):
+    """The orders as read back from the CSV files of an export."""
+    fact = exports.orders_fact(tpch_orders(spark, sf_dir))
+    folder = f"{shared_folder(spark)}/export/{uuid.uuid4().hex}"
+    exports.write_csv(fact, folder)
+    return spark.read.schema(fact.schema).option("header", True).csv(folder)
+
+
+@query(
+    "scores_of_some_customers",
+    with_ctes(
+        *RFM, sql.scores("hs", "r"),
+        select=f"""SELECT customer_id, strftime({sql.AS_OF}, '%Y-%m-%d') AS as_of_date, rfm_segment, least(frequency_365d, 5)::INTEGER AS kmeans_cluster,
+  CASE WHEN churned = 0 THEN churn_probability END AS churn_prob, duration_days, event_observed, 'n/a' AS forecast_model_best,
+  NULL::DOUBLE AS weekly_revenue_last FROM hs""",
+    ),
+)
+def q_scores_of_some_customers(spark, sf_dir):
+    """Scores exist for customers who have not churned; the others keep their row without one."""
+    orders = tpch_orders(spark, sf_dir)
+    as_of = latest_order_date(orders)
+    customers = materialize(banded(add_rfm_segments(materialize(customer_features(orders, as_of)))))
+    scores = scored_now(customers).where("churned = 0").select("customer_id", F.col("churn_probability").alias("churn_prob"))
+    return exports.model_scores_fact(customers, scores, as_of, None, None)
+
+
 @query(
     "orders_fact",
     with_ctes(sql.O, select="SELECT customer_id, strftime(order_date, '%Y-%m-%d') AS order_date, revenue, category FROM o"),

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,13 +13,13 @@ from revenue_lens.operators.customers import customer_features_at
 from revenue_lens.operators.forecasting import baseline_forecasts, best_model, split_series, weekly_series
 from revenue_lens.operators.rfm import add_rfm_segments
 from revenue_lens.operators.simulation import monte_carlo_profit
-from revenue_lens.operators.storage import materialize
+from revenue_lens.operators.storage import materialize, shared_folder
 from revenue_lens.plans import sql_parts as sql
 from revenue_lens.plans.catalog import query, with_ctes
 from revenue_lens.plans.forecast_queries import BASELINES, INVERSE_VARIANCE, METRICS, SPLIT, nation_weeks
 from revenue_lens.settings import DRIFT_FEATURES
 from revenue_lens.sources.orders import latest_order_date, tpch_orders
-from revenue_lens.sources.registry import metrics_map, registry_summary
+from revenue_lens.sources.registry import ModelRegistry, metrics_map, registry_summary
 
 
 def two_snapshots(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -101,6 +102,35 @@ def q_drift_ks(spark, sf_dir):
     return _rounded(drift.ks(drift.both_samples(*two_snapshots(tpch_orders(spark, sf_dir)))), ["ks_stat", "p_value"])
 
 
+NATION_RECENCY = """nv AS (
+  SELECT n_name AS feature, recency_days::DOUBLE AS value, cur FROM (
+    SELECT customer_id, recency_days, false AS cur FROM f_old UNION ALL SELECT customer_id, recency_days, true FROM f_new)
+  JOIN customer ON c_custkey = customer_id JOIN nation ON n_nationkey = c_nationkey)"""
+
+
+@query(
+    "drift_small_samples",
+    with_ctes(
+        *SNAPSHOTS, NATION_RECENCY, KS.replace("FROM v ", "FROM nv "),
+        """nm AS (SELECT feature, n::BIGINT AS n, m::BIGINT AS m, round(ks_stat * n * m)::BIGINT AS d FROM ks),
+pa AS (
+  SELECT feature, n, m, d, 0::BIGINT AS s, 0::BIGINT AS i, 1.0::DOUBLE AS a FROM nm WHERE d > 0 AND n * m <= 10000
+  UNION ALL SELECT feature, n, m, d, s1, i1, sum(a * CASE step WHEN 1 THEN i1 ELSE s1 - i1 END / s1) FROM (
+    SELECT feature, n, m, d, s + 1 AS s1, i + step AS i1, step, a FROM pa CROSS JOIN (VALUES (0::BIGINT), (1)) t(step))
+  WHERE i1 <= n AND s1 - i1 <= m AND abs(i1 * m - (s1 - i1) * n) < d GROUP BY feature, n, m, d, s1, i1)""",
+        select="""SELECT feature, round(ks_stat, 6) AS ks_stat,
+  round(CASE WHEN n * m <= 10000 THEN greatest(0, 1 - coalesce(a, 0)) ELSE kt.p_value END, 6)::DOUBLE AS p_value
+  FROM kt JOIN nm USING (feature) LEFT JOIN (SELECT feature, a FROM pa WHERE s = n + m) e USING (feature)""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+)
+def q_drift_small_samples(spark, sf_dir):
+    """Recency now against a year ago, nation by nation: samples small enough for exact p-values."""
+    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    nations = read("customer").join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("customer_id"), F.col("n_name").alias("feature"))
+    sides = [s.select("customer_id", F.col("recency_days").cast("double").alias("value"), F.lit(bool(k)).alias("is_current")) for k, s in enumerate(two_snapshots(tpch_orders(spark, sf_dir)))]
+    return _rounded(drift.ks(sides[0].unionByName(sides[1]).join(nations, "customer_id").drop("customer_id")), ["ks_stat", "p_value"])
+
+
 @query(
     "drift_report",
     with_ctes(
@@ -124,7 +154,7 @@ def q_drift_report(spark, sf_dir):
     ),
 )
 def q_drift_summary(spark, sf_dir):
-    return _rounded(drift.drift_summary(drift.drift_report(*two_snapshots(tpch_orders(spark, sf_dir)))), ["max_psi"])
+    return _rounded(drift.drift_summary(drift.psi_report(*two_snapshots(tpch_orders(spark, sf_dir)))), ["max_psi"])
 
 
 @query(
@@ -236,7 +266,7 @@ def run_metrics(orders: DataFrame) -> DataFrame:
         alerts.metric_row(current.agg(F.avg("churned").alias("x")), "churn_rate", "x"),
         alerts.metric_row(profit_of(orders), "margin", "margin_sim"),
         alerts.metric_row(forecast_metrics(blended), "mape", "mape"),
-        alerts.metric_row(drift.drift_summary(drift.drift_report(baseline, current)), "max_psi", "max_psi"),
+        alerts.metric_row(drift.drift_summary(drift.psi_report(baseline, current)), "max_psi", "max_psi"),
     ]
     result = tables[0]
     for t in tables[1:]:
@@ -274,6 +304,21 @@ def q_alerts(spark, sf_dir):
     return _rounded(found.select("rule", "severity", "message", "value", "threshold"), ["value", "threshold"])
 
 
+@query(
+    "margin_alert",
+    with_ctes(
+        sql.O, MONTE_CARLO,
+        select="""SELECT 'margin_decline' AS rule, 'CRITICAL' AS severity, round(margin_sim, 6) AS value, 0.9::DOUBLE AS threshold,
+  printf('Net margin %.2f%% below minimum %.2f%%', margin_sim * 100, 90.0::DOUBLE) AS message FROM mc WHERE margin_sim < 0.9""",
+    ),
+)
+def q_margin_alert(spark, sf_dir):
+    """The margin rule with a minimum that no simulated margin reaches."""
+    margin = alerts.metric_row(profit_of(keyed_orders(spark, sf_dir)), "margin", "margin_sim")
+    found = alerts.evaluate(margin, alerts.rules(spark, thresholds={"margin_decline": 0.9}))
+    return _rounded(found.select("rule", "severity", "value", "threshold", "message"), ["value"])
+
+
 REGISTERED_HOLDOUTS = (4, 13, 26)
 
 
@@ -349,3 +394,22 @@ def q_model_staleness(spark, sf_dir):
 
 def company_best_forecast(orders: DataFrame) -> DataFrame:
     return best_model(forecast_metrics(company_baselines(orders)))
+
+
+@query(
+    "registered_models",
+    with_ctes(
+        sql.O, *COMPANY,
+        select="""SELECT model AS name, count(*) AS versions, '0002' AS latest_version, round(max(rmse), 4) AS rmse FROM (
+  SELECT model, rmse FROM me UNION ALL SELECT model, rmse FROM me) GROUP BY model""",
+    ),
+)
+def q_registered_models(spark, sf_dir):
+    """The company's baseline forecasts saved twice in a registry, and what it lists of them."""
+    metrics = forecast_metrics(company_baselines(tpch_orders(spark, sf_dir))).collect()  # a row per model
+    registry = ModelRegistry(spark, f"{shared_folder(spark)}/registry/{uuid.uuid4().hex}")
+    for version in ("0001", "0002"):
+        for r in metrics:
+            registry.register(r["model"], version, None, "baseline", {"rmse": r["rmse"]})
+    rows = [(name, len(registry.list_versions(name)), max(registry.list_versions(name)), registry.get_metrics(name)["rmse"]) for name in registry.list_models()]
+    return _rounded(spark.createDataFrame(rows, "name string, versions bigint, latest_version string, rmse double"), ["rmse"], 4)

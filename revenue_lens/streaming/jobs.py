@@ -44,7 +44,7 @@ def drift_alert_writer(baseline: DataFrame, alert_path: str, thresholds: dict[st
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        report = drift.drift_report(baseline, materialize(batch))
+        report = drift.psi_report(baseline, materialize(batch))
         metric = alerts.metric_row(drift.drift_summary(report), "max_psi", "max_psi")
         found = alerts.evaluate(metric, alerts.rules(batch.sparkSession, thresholds=thresholds))
         found.withColumn("ts", F.current_timestamp()).write.mode("overwrite").json(f"{alert_path}/batch={batch_id}")

@@ -129,3 +129,26 @@ def test_alert_log_appends(spark, tmp_path):
     for _ in range(2):
         alerts.append_alerts(found, str(tmp_path / "log"))
     assert spark.read.json(str(tmp_path / "log")).count() == 2
+
+
+def test_exact_p_values_count_all_arrangements(spark):
+    from itertools import combinations
+
+    def plain(b, c):
+        values = sorted({*b, *c})
+        distance = lambda x, y: max(abs(sum(v <= t for v in x) * len(y) - sum(v <= t for v in y) * len(x)) for t in values)
+        n, d = len(b), distance(b, c)
+        places = list(combinations(range(n + len(c)), n))
+        far = 0
+        for chosen in places:
+            i = j = worst = 0
+            for k in range(n + len(c)):
+                i, j = (i + 1, j) if k in chosen else (i, j + 1)
+                worst = max(worst, abs(i * len(c) - j * n))
+            far += worst >= d
+        return far / len(places)
+
+    groups = {"apart": ([1, 2, 3, 4], [5, 6, 7, 8, 9]), "mixed": ([1, 4, 6, 9], [2, 3, 5, 7, 8]), "ties": ([1, 1, 2, 5], [1, 2, 2, 7, 7]), "same": ([1, 2, 3], [1, 2, 3]), "one": ([1], [2])}
+    rows = [(f, float(v), side) for f, (b, c) in groups.items() for side, part in ((False, b), (True, c)) for v in part]
+    found = {r["feature"]: r["p_value"] for r in drift.ks(spark.createDataFrame(rows, "feature string, value double, is_current boolean")).collect()}
+    assert found == {f: pytest.approx(plain(*g)) for f, g in groups.items()}
