@@ -104,6 +104,31 @@ def psi(samples: DataFrame) -> DataFrame:
     )
 
 
+def baseline_bins(baseline: DataFrame, features: list[str] = DRIFT_FEATURES) -> DataFrame:
+    """Stored (feature, low, high, b0, ..., b9): what PSI needs of a baseline as long as nothing lies outside its range."""
+    values = stacked(baseline, features)
+    ranges = values.groupBy("feature").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    binned = values.join(F.broadcast(ranges), "feature").withColumn("bin", _bin(F.col("value"), F.col("low"), F.col("high")))  # a row per feature
+    counts = [F.count(F.when(F.col("bin") == i, 1)).alias(f"b{i}") for i in range(BINS)]
+    return materialize(binned.groupBy("feature").agg(F.first("low").alias("low"), F.first("high").alias("high"), *counts))
+
+
+def psi_from_bins(bins: DataFrame, baseline: DataFrame, current: DataFrame) -> DataFrame:
+    """`psi` of a stored ``current`` from ``baseline_bins``. Features within the stored range are compared with the stored counts;
+    only for one that leaves it are the baseline's values binned anew, over the range of both."""
+    known = [r["feature"] for r in bins.select("feature").collect() if r["feature"] in current.columns]  # the monitored features
+    values = stacked(current, known)
+    joined = values.join(F.broadcast(bins), "feature")
+    outside = F.max((F.col("value") < F.col("low")) | (F.col("value") > F.col("high")))
+    number = _bin(F.col("value"), F.col("low"), F.col("high"))
+    counts = [F.count(F.when(number == i, 1)).alias(f"c{i}") for i in range(BINS)]
+    stored = [F.first(f"b{i}").alias(f"b{i}") for i in range(BINS)]
+    table = materialize(joined.groupBy("feature").agg(outside.alias("outside"), *stored, *counts))
+    inside = table.where("NOT outside").select("feature", _psi_sum([F.col(f"b{i}") for i in range(BINS)], [F.col(f"c{i}") for i in range(BINS)]).alias("psi"))
+    wider = [r["feature"] for r in table.where("outside").select("feature").collect()]
+    return inside.unionByName(psi(both_samples(baseline, current, wider))) if wider else inside
+
+
 def _kolmogorov_tail(x: Column, terms: int = 40) -> Column:
     """Upper tail of the Kolmogorov distribution; 1 where the series has not converged yet."""
     series = sum((F.lit(2.0 * (-1) ** (k - 1)) * F.exp(-2.0 * k * k * x * x) for k in range(1, terms + 1)), F.lit(0.0))

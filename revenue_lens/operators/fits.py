@@ -74,6 +74,31 @@ def holt_winters(y: np.ndarray, horizon: int) -> Fit:
     return Fit(fitted, level[0] + ahead * trend[0] + season[0, slots], 5 + m if m else 4)
 
 
+def moving_average_of_steps(y: np.ndarray, horizon: int) -> Fit:
+    """ARIMA (0, 1, 1) without season or constant, for any series of two values: the moving-average weight with the least sum of
+    squared one-step errors, from a grid that is refined three times."""
+    if len(y) < 2:
+        raise ValueError("series too short for this order")
+    steps = np.diff(y)
+
+    def errors(weights: np.ndarray) -> np.ndarray:
+        """One-step errors [time, weight]."""
+        found = np.zeros((len(steps), len(weights)))
+        shock = np.zeros(len(weights))
+        for t, step in enumerate(steps):
+            shock = found[t] = step - weights * shock
+        return found
+
+    best, width = 0.0, 0.99
+    for _ in range(4):
+        grid = np.clip(np.linspace(best - width, best + width, 41), -0.99, 0.99)
+        best = float(grid[(errors(grid) ** 2).sum(axis=0).argmin()])
+        width /= 20
+    shocks = errors(np.array([best]))[:, 0]
+    fitted = np.concatenate([[y[0]], y[1:] - shocks])
+    return Fit(fitted, np.full(horizon, y[-1] + best * shocks[-1]), 2)
+
+
 def _lagged(x: np.ndarray, lags: list[int]) -> np.ndarray:
     return np.column_stack([np.concatenate([np.zeros(k), x[:-k]]) for k in lags]) if lags else np.empty((len(x), 0))
 

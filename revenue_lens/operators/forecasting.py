@@ -122,16 +122,21 @@ def holt_winters_forecasts(split: DataFrame) -> DataFrame:
 
 
 def arima_forecasts(split: DataFrame) -> DataFrame:
-    """All candidate orders in parallel; the lowest BIC per series wins."""
+    """All candidate orders in parallel; the lowest BIC per series wins. Where every candidate fails, (0, 1, 1) without a season is
+    fitted to its steps, which any two values allow."""
     grid = [(o, s) for o in fits.ARIMA_ORDERS for s in fits.SEASONAL_CHOICES]
 
     def fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        order, seasonal = grid[pdf["candidate"].iloc[0]]
+        number = pdf["candidate"].iloc[0]
+        if number == len(grid):
+            return _run(pdf, "sarima", "(0, 1, 1) fallback", lambda y, h, _: fits.moving_average_of_steps(y, h))
+        order, seasonal = grid[number]
         return _run(pdf, "sarima", f"{order}x{seasonal}", lambda y, h, _: fits.arima(y, h, order, seasonal))
 
-    candidates = split.withColumn("candidate", F.explode(F.array(*[F.lit(i) for i in range(len(grid))])))
+    candidates = split.withColumn("candidate", F.explode(F.array(*[F.lit(i) for i in range(len(grid) + 1)])))
     tried = candidates.groupBy("series_key", "candidate").applyInPandas(fit_group, FORECAST_SCHEMA)
-    best = F.min(F.struct(F.coalesce("bic", F.lit(float("inf"))), "spec")).over(Window.partitionBy("series_key"))
+    rank = F.struct(F.col("status") != "ok", F.col("spec").endswith("fallback"), F.coalesce("bic", F.lit(float("inf"))), "spec")
+    best = F.min(rank).over(Window.partitionBy("series_key"))
     return tried.withColumn("_best", best).where("_best.spec = spec").drop("_best")
 
 

@@ -94,6 +94,13 @@ def q_drift_psi(spark, sf_dir):
     return _rounded(drift.psi(drift.both_samples(*two_snapshots(tpch_orders(spark, sf_dir)))), ["psi"])
 
 
+@query("drift_psi_from_bins", with_ctes(*SNAPSHOTS, PSI, select="SELECT feature, round(psi, 6) AS psi FROM psi"))
+def q_drift_psi_from_bins(spark, sf_dir):
+    """The same from stored bin counts of the baseline."""
+    old, new = two_snapshots(tpch_orders(spark, sf_dir))
+    return _rounded(drift.psi_from_bins(drift.baseline_bins(old), old, materialize(new)), ["psi"])
+
+
 @query(
     "drift_ks_statistic",
     with_ctes(*SNAPSHOTS, KS, select="SELECT feature, round(ks_stat, 6) AS ks_stat, round(p_value, 6)::DOUBLE AS p_value FROM kt"),

@@ -12,6 +12,7 @@ from revenue_lens.functions import from_cents, to_cents, week_end
 from revenue_lens.operators import alerts, drift
 from revenue_lens.operators.churn import score_requests
 from revenue_lens.operators.storage import materialize
+from revenue_lens.settings import DRIFT_FEATURES
 from revenue_lens.sources.orders import split_requests
 
 
@@ -40,13 +41,16 @@ def score_request_stream(requests: DataFrame, model: PipelineModel | None = None
 def drift_alert_writer(baseline: DataFrame, alert_path: str, thresholds: dict[str, float] | None = None) -> Callable:
     """A ``foreachBatch`` function: drift of each batch of customer features against the baseline.
 
-    Violations are written to one folder per batch, so a replayed batch replaces its own.
+    The baseline is read once, for its bin counts; a batch meets these, and the baseline itself only for a feature that
+    leaves its range. Violations are written to one folder per batch, so a replayed batch replaces its own.
     """
+    bins = drift.baseline_bins(baseline, [f for f in DRIFT_FEATURES if f in baseline.columns])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        report = drift.psi_report(baseline, materialize(batch))
+        found = drift.psi_from_bins(bins, baseline, materialize(batch))
+        report = found.withColumn("alert_level", drift.alert_level(F.col("psi")))
         metric = alerts.metric_row(drift.drift_summary(report), "max_psi", "max_psi")
-        found = alerts.evaluate(metric, alerts.rules(batch.sparkSession, thresholds=thresholds))
-        found.withColumn("ts", F.current_timestamp()).write.mode("overwrite").json(f"{alert_path}/batch={batch_id}")
+        violations = alerts.evaluate(metric, alerts.rules(batch.sparkSession, thresholds=thresholds))
+        violations.withColumn("ts", F.current_timestamp()).write.mode("overwrite").json(f"{alert_path}/batch={batch_id}")
 
     return write

@@ -65,3 +65,32 @@ def test_drift_alerts_per_batch(spark, tmp_path, few_partitions):
     )
     drain(query)
     assert [r["rule"] for r in spark.read.json(str(tmp_path / "alerts")).collect()] == ["data_drift"]
+
+
+def test_drift_from_stored_bins_equals_the_whole_comparison(spark, tmp_path, few_partitions):
+    from revenue_lens.operators import drift
+
+    baseline = spark.range(300).select((F.col("id") % 70).cast("double").alias("recency_days"), (F.col("id") % 11).cast("double").alias("frequency_365d"))
+    batches = {
+        "within": spark.range(120).select((F.col("id") % 30 + 20).cast("double").alias("recency_days"), (F.col("id") % 4).cast("double").alias("frequency_365d")),
+        "outside": spark.range(90).select((F.col("id") % 100 - 9).cast("double").alias("recency_days"), (F.col("id") % 11).cast("double").alias("frequency_365d")),
+        "one value": spark.range(40).select(F.lit(3.0).alias("recency_days"), F.lit(None).cast("double").alias("frequency_365d")),
+    }
+    bins = drift.baseline_bins(baseline)
+    for current in batches.values():
+        psi = lambda df: {r["feature"]: r["psi"] for r in df.collect()}
+        want = psi(drift.psi(drift.both_samples(baseline, current)))
+        found = psi(drift.psi_from_bins(bins, baseline, current))
+        assert found == {f: pytest.approx(want[f]) for f in found} and set(found) >= {"recency_days"}
+    # The alerts of a stream, batch by batch, are those of the whole comparison.
+    schema = batches["within"].schema
+    for name in ("within", "outside"):
+        batches[name].coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = (
+        stream.writeStream.foreachBatch(drift_alert_writer(baseline, str(tmp_path / "alerts"), thresholds={"data_drift": 0.0}))
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    )
+    drain(query)
+    values = sorted(r["value"] for r in spark.read.json(str(tmp_path / "alerts")).collect())
+    assert values == pytest.approx(sorted(drift.drift_summary(drift.psi_report(baseline, batches[n])).first()["max_psi"] for n in ("within", "outside")))
