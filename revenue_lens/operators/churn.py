@@ -44,7 +44,6 @@ class Sizes:
     tuned_subsample: float = 0.85
     depth_grid: tuple[int, ...] = (3, 6)
     leaves_grid: tuple[int, ...] = (31, 63)
-    parallelism: int = 8
 
 
 def stratified_split(customers: DataFrame, share: float = CHURN_TEST_SHARE, seed: int = SEED) -> DataFrame:
