@@ -232,6 +232,15 @@ def _perhaps_among(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     return placed.where(F.getbit(byte, (F.col("bit") % 8).cast("int")) == 1).select(*rows.columns)
 
 
+def _still_open(placed: DataFrame, later: DataFrame) -> DataFrame:
+    """The entries ``placed(key, node, n, root)`` with the roots of ``later(node, root)``, without the buckets that these close: no
+    round looks at one again."""
+    up = later.select(F.col("node").alias("from"), F.col("root").alias("to"))
+    moved = materialize(placed.join(up, F.col("root") == F.col("from"), "left").select("key", "node", "n", F.coalesce("to", "root").alias("root")))
+    several = moved.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    return materialize(moved.join(several.select("key"), "key", "left_semi"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``docs(doc_id, text, ...)``."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -247,8 +256,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = _perhaps_among(docs.withColumnRenamed("doc_id", "node"), "node", wanted).join(wanted, "node").groupBy("node").agg(F.collect_set("text").alias("texts"))
     texts = materialize(texts.select("node", F.explode("texts").alias("text")))
     labels, tested, turn = None, None, 0
+    placed = shared.withColumn("root", F.col("node"))
     while True:
-        placed = shared.withColumn("root", F.col("node")) if labels is None else shared.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
         marks = [F.col("node")] if turn == 0 else [F.xxhash64("node", F.lit(CENTRES * turn + k)) for k in range(CENTRES)]
         least = [F.min(F.struct(mark.alias("mark"), "node", "n", "root")) for mark in marks]
         stars = placed.groupBy("key").agg(F.array(*least).alias("centres"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key", "centres")
@@ -267,6 +276,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             break
         new = components(found)
         labels = new if labels is None else materialize(relabelled(labels, new))
+        placed = _still_open(placed, new)
         turn += 1
     # Buckets of more members have pairs without a centre.
     several = placed.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("low"), F.max("root").alias("high")).where((F.col("members") > CENTRES + 1) & (F.col("low") != F.col("high")))
