@@ -2,11 +2,13 @@
 
 import heapq
 import math
+import pickle
 from dataclasses import replace
 from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -110,6 +112,30 @@ def test_tasks_and_jobs_grow_the_same_trees(rows, monkeypatch, many_blocks):
     assert all((t.feature < 0).sum() <= 9 for t in one.models["leaves"].trees) and len(one.models["leaves"].trees) == 3
 
 
+def test_tables_of_several_blocks_still_go_to_a_task_per_model(rows, monkeypatch):
+    """Up to BLOCK_ROWS no step is a job: 90,000 customers made thousands of jobs of two tasks."""
+    monkeypatch.setattr(boosting, "JOB_ROWS", 60)
+    monkeypatch.setattr(boosting, "_grown_by_jobs", None)
+    assert boosting.BLOCK_ROWS >= 1 << 20
+    assert len(fit(rows, *BOOSTERS).models["depth"].trees) == 4
+
+
+def test_the_driver_gets_splits_only(rows, monkeypatch, many_blocks):
+    """A histogram of a node takes 3 * 256 numbers a feature; of each wanted node only its best split may come back."""
+    sizes = []
+    collect = RDD.collect
+
+    def counted(self):
+        found = collect(self)
+        sizes.append((len(pickle.dumps(found)), sum(len(s[0]) for _, s in found)))
+        return found
+
+    monkeypatch.setattr(RDD, "collect", counted)
+    monkeypatch.setattr(RDD, "treeReduce", None)
+    fit(rows, replace(PLAIN, rounds=1), block_rows=60)
+    assert len(sizes) == 3 and all(size < 1000 + 200 * nodes for size, nodes in sizes)
+
+
 def test_repeated_rows_weigh_like_one_row_with_their_weight(spark, rows):
     twice = rows.union(rows).withColumn("w", F.col("w") / 2)
     one, two = fit(rows, replace(PLAIN, min_rows=1)), fit(twice, replace(PLAIN, min_rows=1))
