@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revenue_lens.functions import hash_int, hash_uniform, to_cents
@@ -39,33 +42,68 @@ def hash_sample(df: DataFrame, size: int | None, key: str, seed: int = SEED) ->
         share *= 2
 
 
-def _uniform(lane: int) -> Column:
-    """Uniform in (0, 1) from (a * draw + c) mod p with hashed a, c per order.
+#: Draws of a run, which share the angles of their order, and values that are worked on at once (they stay in the cache of a core).
+_RUN, _VALUES = 100, 40_000
 
-    The family is pairwise independent over the draws and independent over the orders.
+
+def _profit_of_draws(revenue: np.ndarray, a1: np.ndarray, c1: np.ndarray, a2: np.ndarray, c2: np.ndarray, n_draws: int) -> np.ndarray:
+    """Profit of some orders by draw.
+
+    The uniforms of draw ``d`` are ``(x + 0.5) / p`` with ``x = (a * d + c) mod p``, a family that is pairwise independent over the
+    draws and independent over the orders. With ``d = i + j``, ``i`` the first draw of a run, ``x`` is the sum of two remainders,
+    less ``p`` where it reaches it, and the cosine of the angle of the second uniform follows from those of ``i`` and ``j``.
     """
-    mixed = (F.col(f"a{lane}") * F.col("draw") + F.col(f"c{lane}")) % MODULUS
-    return (mixed + F.lit(0.5)) / F.lit(float(MODULUS))
+    run = min(_RUN, n_draws)
+    firsts, steps = np.arange(0, n_draws, run), np.arange(run)
+    spread, median = COST_SIGMA * math.sqrt(2), math.exp(COST_MU)
+    low, high = math.log(COST_LOW) - COST_MU, math.log(COST_HIGH) - COST_MU
+    at = lambda a, c, d: (a[:, None] * d + c[:, None]) % MODULUS
+    finite = np.isfinite(revenue)
+    costs, known = np.zeros(n_draws), np.where(finite, revenue, 0.0)
+    size = max(1, _VALUES // n_draws)
+    buffers = np.empty((2, min(size, len(revenue)), len(firsts), run))
+    for first in range(0, len(revenue), size):
+        own = slice(first, min(first + size, len(revenue)))
+        x, less = buffers[:, : own.stop - first]
+        np.add((at(a1[own], c1[own], firsts) + 0.5)[:, :, None], at(a1[own], 0 * c1[own], steps).astype(np.float64)[:, None, :], out=x)
+        np.subtract(x, MODULUS, out=less)
+        # As unsigned numbers the negative ones are the largest.
+        np.minimum(x.view(np.uint64), less.view(np.uint64), out=x.view(np.uint64))
+        angle, turn = (at(a2[own], c2[own], firsts) + 0.5) * (2 * math.pi / MODULUS), at(a2[own], 0 * c2[own], steps) * (2 * math.pi / MODULUS)
+        cosine = np.matmul(np.stack([np.cos(angle) * spread, np.sin(angle) * -spread], axis=2), np.stack([np.cos(turn), np.sin(turn)], axis=1), out=less)
+        np.log(x, out=x)
+        np.subtract(math.log(MODULUS), x, out=x)
+        np.sqrt(x, out=x)
+        np.multiply(x, cosine, out=x)
+        np.clip(x, low, high, out=x)
+        np.exp(x, out=x)
+        costs += (known[own] @ x.reshape(len(x), -1))[:n_draws]
+    return known.sum() - costs * median + revenue[~finite].sum()
 
 
 def simulate_draws(sample: DataFrame, key: str, n_draws: int = DEFAULT_DRAWS, seed: int = SEED) -> DataFrame:
     """Total profit of ``sample`` per draw.
 
-    One digest per order seeds all its draws; the rest is integer arithmetic. Rows stream
-    through a partial sum per draw, so the shuffle carries at most ``n_draws`` rows per
-    partition.
+    One digest per order seeds all its draws. Each partition adds up its orders by draw in arrays of bounded size, so the shuffle
+    carries at most ``n_draws`` rows per partition. Orders without a revenue count, but add nothing.
     """
-    seeds = {
-        name: (hash_int(seed, "order", F.col(key), lane=lane) % MODULUS).alias(name)
-        for lane, name in enumerate(("a1", "c1", "a2", "c2"))
-    }
-    each = sample.select("revenue", *seeds.values()).select(
-        "revenue", *seeds, F.explode(F.sequence(F.lit(0), F.lit(n_draws - 1))).alias("draw")
-    )
-    normal = F.sqrt(-2 * F.log(_uniform(1))) * F.cos(2 * math.pi * _uniform(2))
-    ratio = F.exp(COST_MU + COST_SIGMA * normal)
-    profit = F.col("revenue") * (1 - F.least(F.greatest(ratio, F.lit(COST_LOW)), F.lit(COST_HIGH)))
-    return each.groupBy("draw").agg(F.sum(profit).alias("total_profit"), F.count(F.lit(1)).alias("orders"))
+    names = ("a1", "c1", "a2", "c2")
+    seeds = {name: (hash_int(seed, "order", F.col(key), lane=lane) % MODULUS).alias(name) for lane, name in enumerate(names)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, orders, known = np.zeros(n_draws), 0, 0
+        for batch in batches:
+            orders += batch.num_rows
+            batch = batch.filter(batch["revenue"].is_valid())
+            known += batch.num_rows
+            total += _profit_of_draws(*[batch[c].to_numpy() for c in ("revenue", *names)], n_draws)
+        if orders:
+            columns = [np.arange(n_draws, dtype=np.int32), pa.array(total if known else [None] * n_draws, pa.float64()), np.full(n_draws, orders)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["draw", "total_profit", "orders"])
+
+    each = sample.select(F.col("revenue").cast("double").alias("revenue"), *seeds.values())
+    parts = each.mapInArrow(run, "draw int, total_profit double, orders bigint")
+    return parts.groupBy("draw").agg(F.sum("total_profit").alias("total_profit"), F.sum("orders").alias("orders"))
 
 
 def profit_summary(draws: DataFrame) -> DataFrame:
@@ -109,7 +147,7 @@ def monte_carlo_profit(
     sample = hash_sample(orders.select(key, "revenue"), n_orders, key, seed)
     total = _total_revenue(orders)
     simulated = total if n_orders is None else _total_revenue(sample)
-    # Each row becomes n_draws rows: spread the narrow rows first, however few files hold them.
+    # Each row stands for n_draws values: spread the narrow rows first, however few files hold them.
     parts = max(spark.sparkContext.defaultParallelism * 2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     profit = F.col("mean_total_profit")
     return profit_summary(simulate_draws(sample.repartition(parts, key), key, n_draws, seed)).withColumns(

@@ -37,6 +37,29 @@ def test_draws_against_numpy(spark):
     assert [found[d] for d in range(25)] == pytest.approx(list(expected))
 
 
+def test_many_draws_need_no_row_each(spark):
+    """Rows of draws took about 100 ns each: the plan must not multiply orders by draws."""
+    draws = simulate_draws(orders(spark, 40), "order_id", 5000)
+    assert "Generate" not in draws._jdf.queryExecution().toString()
+    found = {r["draw"]: (r["total_profit"], r["orders"]) for r in draws.collect()}
+    assert sorted(found) == list(range(5000)) and {n for _, n in found.values()} == {40}
+    seeds = [[int(hashlib.md5(f"42|order|{i}".encode()).hexdigest()[8 * k : 8 * k + 8], 16) % MODULUS for k in range(4)] for i in range(40)]
+    for d in (0, 1, 99, 100, 101, 2499, 4900, 4999):
+        u = [((a1 * d + c1) % MODULUS + 0.5, (a2 * d + c2) % MODULUS + 0.5) for a1, c1, a2, c2 in seeds]
+        ratio = [min(max(math.exp(-0.45 + 0.15 * math.sqrt(-2 * math.log(x / MODULUS)) * math.cos(2 * math.pi * y / MODULUS)), 0.2), 0.95) for x, y in u]
+        assert found[d][0] == pytest.approx(sum((100.0 + i % 50) * (1 - r) for i, r in enumerate(ratio)), rel=1e-12)
+
+
+def test_odd_revenues(spark):
+    schema = "order_id long, revenue double"
+    missing = simulate_draws(spark.createDataFrame([(1, None), (2, 8.0), (3, None)], schema), "order_id", 7).collect()
+    alone = {r["draw"]: r["total_profit"] for r in simulate_draws(spark.createDataFrame([(2, 8.0)], schema), "order_id", 7).collect()}
+    assert {r["draw"]: r["total_profit"] for r in missing} == pytest.approx(alone) and {r["orders"] for r in missing} == {3}
+    assert {r["total_profit"] for r in simulate_draws(spark.createDataFrame([(1, None)], schema), "order_id", 3).collect()} == {None}
+    assert {r["total_profit"] for r in simulate_draws(spark.createDataFrame([(1, math.inf), (2, 8.0)], schema), "order_id", 3).collect()} == {math.inf}
+    assert simulate_draws(spark.createDataFrame([], schema), "order_id", 3).collect() == []
+
+
 def test_distribution(spark):
     df = orders(spark, 400)
     row = profit_summary(simulate_draws(df, "order_id", 2000)).first()
