@@ -22,7 +22,7 @@ value of its row and is hashed as such. An empty table has neither root nor rows
 from __future__ import annotations
 
 import hashlib
-from binascii import hexlify
+from binascii import hexlify, unhexlify
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -224,43 +224,74 @@ def handed_down(rounds: list[DataFrame], above: DataFrame) -> DataFrame:
     return own
 
 
-def _proofs(columns: int):
+#: Proofs that are handed on at once: one takes some kilobytes.
+_PROOFS = 512
+
+
+def _proofs(columns: int, places: tuple[str, str]):
     def run(batches):
         segment = shared = None
-        for batch in batches:
-            found = []
-            for k, log, path, inputs, top, i in _grouped([batch], ["kind", "log", "path", "inputs", "top", "i"]):
-                if k == 0:
-                    segment, shared = (log, path, inputs, top), (None, None)
-                    found.append(None)
-                    continue
-                log, path, inputs, top = segment
-                j = i % _BLOCK
-                if shared[0] != j // ARITY:  # the levels above are the same for a run
-                    shared = j // ARITY, siblings(log, inputs, top, j, range(1, top)) + path
-                found.append(siblings(log, inputs, top, j, range(min(top, 1))) + shared[1])
-            out = pa.RecordBatch.from_arrays([*batch.columns[:columns], pa.array(found, pa.binary()).cast(pa.string())], [*batch.schema.names[:columns], "proof"])
-            yield out.filter(pa.compute.is_valid(out["proof"]))
+        for whole in batches:
+            for first in range(0, whole.num_rows, _PROOFS):
+                batch = whole.slice(first, _PROOFS)
+                found, roots_ = [], []
+                for k, log, path, inputs, top, i, above, leaves, digest in _grouped([batch], ["kind", "log", "path", "inputs", "top", "i", "above", "leaves_", "digest_"]):
+                    if k == 0:
+                        segment, shared = (log, path, inputs, top, [above[c] for c in places]), (None, None)
+                        continue
+                    log, path, inputs, top, over = segment
+                    j = i % _BLOCK
+                    if shared[0] != j // ARITY:  # the levels above are the same for a run
+                        shared = j // ARITY, siblings(log, inputs, top, j, range(1, top)) + path
+                    proof = siblings(log, inputs, top, j, range(min(top, 1))) + shared[1]
+                    found.append(proof)
+                    roots_.append(_folded(digest, [i, leaves, *over], proof))
+                kept = batch.filter(pa.compute.equal(batch["kind"], 1))
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.columns[:columns], pa.array(found, pa.binary()).cast(pa.string()), pa.array(roots_, pa.binary())], [*batch.schema.names[:columns], "proof", "folded"]
+                )
 
     return run
 
 
-def proofs(leaves: DataFrame, lowest: DataFrame, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``leaves(tree, i, ...)`` and ``proof``: the hexadecimal digests of its siblings, level by level up
-    to the root. A segment and its documents meet in one task, the segment first."""
+def _folded(digest: bytes | None, numbers: list[int], proof: bytes) -> bytes | None:
+    """The root (32 bytes) that a digest and a proof lead to through the trees of ``numbers``, each the number of the leaf and of
+    the leaves."""
+    if digest is None:
+        return None
+    found = hexlify(digest)
+    for t in range(0, len(numbers), 2):
+        found, used = fold(found, numbers[t], numbers[t + 1], proof)
+        proof = proof[used:]
+    if proof:
+        raise ValueError("the proof is too long")
+    return unhexlify(found)
+
+
+def proofs(leaves: DataFrame, lowest: DataFrame, keep: list[str], digest: Column | None = None, above: tuple[str, str] | None = None) -> DataFrame:
+    """Columns ``keep`` of ``leaves(tree, i, leaves, ...)``; ``proof``: the hexadecimal digests of its siblings, level by level up
+    to the root; and ``folded``: the root that ``digest`` (32 bytes) and the proof lead to, null without a digest. ``above`` names the
+    columns of ``lowest`` that give the place of the tree among the trees, and their number, where the proof leads through those.
+    A segment and its documents meet in one task, the segment first."""
     block = F.expr(f"i div {_BLOCK}")
     none = lambda t: F.lit(None).cast(t)
-    bodies = leaves.select(*keep, F.lit(1).alias("kind"), "tree", block.alias("block"), "i", none("binary").alias("log"), none("binary").alias("path"), none("int").alias("inputs"), none("int").alias("top"))
+    places = above or ()
+    over = "struct<" + ", ".join(f"{c}: bigint" for c in places or ("none",)) + ">"
+    bodies = leaves.select(
+        *keep, F.lit(1).alias("kind"), "tree", block.alias("block"), "i", none("binary").alias("log"), none("binary").alias("path"), none("int").alias("inputs"), none("int").alias("top"),
+        none(over).alias("above"), F.col("leaves").alias("leaves_"), (none("binary") if digest is None else digest).alias("digest_"),
+    )
     types = dict(leaves.dtypes)
     held = {"tree", "i"}
     heads = lowest.select(
-        *[none(types[c]).alias(c) for c in keep], F.lit(0).alias("kind"), "tree", "block", F.lit(-1).cast("bigint").alias("i"), "log", "path", "inputs", "top"
-    )
+        *[none(types[c]).alias(c) for c in keep], F.lit(0).alias("kind"), "tree", "block", F.lit(-1).cast("bigint").alias("i"), "log", "path", "inputs", "top",
+        (F.struct(*[F.col(c).cast("bigint").alias(c) for c in places]) if places else none(over)).alias("above"), none("bigint").alias("leaves_"), none("binary").alias("digest_"),
+    )
     if held & set(keep):
         raise ValueError("give tree and i other names to keep them")
     dealt = heads.unionByName(bodies).repartition("tree", "block").sortWithinPartitions("tree", "block", "kind", "i")
     schema = ", ".join(f"`{c}` {types[c]}" for c in keep)
-    return dealt.mapInArrow(_proofs(len(keep)), f"{schema}, proof string")
+    return dealt.mapInArrow(_proofs(len(keep), places), f"{schema}, proof string, folded binary")
 
 
 def folded(digest: Column, places: list[tuple[Column, Column]], proof: Column) -> Column:
@@ -272,23 +303,18 @@ def folded(digest: Column, places: list[tuple[Column, Column]], proof: Column) -
             digests, proofs_, *numbers = [c.to_pylist() for c in batch]
             found = []
             for k, (d, p) in enumerate(zip(digests, proofs_)):
-                d, p = d.encode(), p.encode()
-                for t in range(0, len(numbers), 2):
-                    d, used = fold(d, numbers[t][k], numbers[t + 1][k], p)
-                    p = p[used:]
-                if p:
-                    raise ValueError("the proof is too long")
-                found.append(d.decode())
+                found.append(hexlify(_folded(unhexlify(d), [n[k] for n in numbers], p.encode())).decode())
             yield pa.array(found, pa.string())
 
     return F.arrow_udf(run, "string")(digest, proof, *[c for pair in places for c in pair])
 
 
 def manifest(docs: DataFrame, altered_text: Column | None = None) -> DataFrame:
-    """(doc_id, lang, leaf, altered_leaf, subroot, root, proof, place, leaves, tree_place, trees) of every row of
+    """(doc_id, lang, leaf, altered_leaf, subroot, root, proof, folded_root, place, leaves, tree_place, trees) of every row of
     ``docs(doc_id, source, lang, n_chars, text)``.
 
-    ``altered_leaf`` is the leaf with ``altered_text`` in place of the text, null where that is null.
+    ``altered_leaf`` is the leaf with ``altered_text`` in place of the text, null where that is null. ``folded_root`` is the root
+    that the altered leaf, else the leaf, and the proof lead to; it is computed where the proof is read, as proofs are long.
     """
     altered = F.lit(None).cast("string") if altered_text is None else F.when(altered_text.isNotNull(), leaf_digest(altered_text))
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", _tree(F.col("lang").cast("string")).alias("tree"), leaf_digest().alias("leaf"), altered.alias("altered_leaf"))
@@ -300,15 +326,16 @@ def manifest(docs: DataFrame, altered_text: Column | None = None) -> DataFrame:
     top = build(subroots)
     above = handed_down(top, roots(top).select("tree", F.lit(b"").alias("path")))
     heads = proofs(subroots, above, ["sub"]).select(F.col("sub").alias("tree"), F.col("proof").cast("binary").alias("path"))
-    lowest = handed_down(rounds, materialize(heads))
+    numbers = subroots.select(F.col("sub").alias("tree"), F.col("i").alias("tree_place"), F.col("leaves").alias("trees"))
+    lowest = handed_down(rounds, materialize(heads)).join(F.broadcast(numbers), "tree")  # a row per lang
     whole = F.lower(F.hex("digest"))
     trees = subroots.select(F.col("sub").alias("of"), F.col("i").alias("tree_place"), F.col("leaves").alias("trees"), whole.alias("subroot"))
     root = roots(top).select(whole.alias("root"))  # one row
     trees = trees.join(F.broadcast(root))
     named = leaves.withColumns({"of": F.col("tree"), "place": F.col("i")})
-    found = proofs(named, lowest, ["doc_id", "lang", "leaf", "altered_leaf", "of", "place", "leaves"])
-    hexed = found.withColumns({c: F.lower(F.hex(c)) for c in ("leaf", "altered_leaf")})
-    return hexed.join(trees, "of").select("doc_id", "lang", "leaf", "altered_leaf", "subroot", "root", "proof", "place", "leaves", "tree_place", "trees")
+    found = proofs(named, lowest, ["doc_id", "lang", "leaf", "altered_leaf", "of", "place", "leaves"], F.coalesce("altered_leaf", "leaf"), ("tree_place", "trees"))
+    hexed = found.withColumnRenamed("folded", "folded_root").withColumns({c: F.lower(F.hex(c)) for c in ("leaf", "altered_leaf", "folded_root")})
+    return hexed.join(trees, "of").select("doc_id", "lang", "leaf", "altered_leaf", "subroot", "root", "proof", "folded_root", "place", "leaves", "tree_place", "trees")
 
 
 _SQL = """
@@ -345,7 +372,5 @@ FROM fold f JOIN sub s ON s.lang IS NOT DISTINCT FROM f.lang, over o WHERE f.abo
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
     rows = manifest(table(spark, sf_dir, "documents"), F.when(chosen, F.translate("text", _UPPER, _LOWER)))
-    leaf = F.coalesce("altered_leaf", "leaf")
-    places = [(F.col("place"), F.col("leaves")), (F.col("tree_place"), F.col("trees"))]
-    root = rows.select("doc_id", "leaf", "subroot", "root", F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256"), folded(leaf, places, F.col("proof")).alias("folded_root"))
+    root = rows.select("doc_id", "leaf", "subroot", "root", F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256"), "folded_root")
     return root.withColumn("verified", F.col("folded_root") == F.col("root"))

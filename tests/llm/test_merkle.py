@@ -101,6 +101,17 @@ def test_nulls_repeats_and_other_columns(spark):
     assert run(docs.limit(0)) == []
 
 
+def test_proofs_are_folded_where_they_are_read(spark):
+    """Proofs went to a second Python worker, which took an executor over its memory."""
+    rows = [(k, t, "en" if k % 3 else None, "s", 1) for k, t in enumerate(texts(1200))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    found = merkle.manifest(docs, F.when(F.col("doc_id") % 2 == 0, F.lit("other")))
+    assert "ArrowEvalPython" not in found._jdf.queryExecution().toString()
+    places = [(F.col("place"), F.col("leaves")), (F.col("tree_place"), F.col("trees"))]
+    back = found.select("doc_id", "root", "folded_root", merkle.folded(F.coalesce("altered_leaf", "leaf"), places, F.col("proof")).alias("back")).collect()
+    assert len(back) == 1200 and all(r["folded_root"] == r["back"] and (r["root"] == r["back"]) == (r["doc_id"] % 2 == 1) for r in back)
+
+
 def test_long_text(spark):
     rows = [(k, "Long " * 400_000 if k == 5 else "short", "en", "s", 1) for k in range(20)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
