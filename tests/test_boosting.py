@@ -8,8 +8,9 @@ from itertools import combinations
 
 import numpy as np
 import pytest
-from pyspark import RDD
+from pyspark import RDD, SparkContext
 from pyspark.ml import PipelineModel
+from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
 from revenue_lens.operators import boosting, tree_shapley
@@ -136,6 +137,51 @@ def test_the_driver_gets_splits_only(rows, monkeypatch, many_blocks):
     assert len(sizes) == 3 and all(size < 1000 + 200 * nodes for size, nodes in sizes)
 
 
+def test_the_block_of_the_tasks_stays_out_of_the_driver(rows, monkeypatch):
+    """It holds up to 32 MB; the tasks read it from storage, each for its own model."""
+    sizes = []
+    collect = DataFrame.collect
+
+    def counted(self):
+        found = collect(self)
+        sizes.append(len(pickle.dumps(found)))
+        return found
+
+    expected = fit(rows, *BOOSTERS)
+    monkeypatch.setattr(SparkContext, "broadcast", None)
+    monkeypatch.setattr(DataFrame, "collect", counted)
+    monkeypatch.setattr(DataFrame, "first", None)
+    monkeypatch.setattr(boosting, "_grown_by_jobs", None)
+    many = [replace(b, name=f"{b.name}{k}") for k in range(3) for b in BOOSTERS]
+    found = fit(rows, *many)
+    for name in ("depth", "leaves"):
+        for a, b in zip(expected.models[name].trees, found.models[f"{name}0"].trees, strict=True):
+            assert all(np.array_equal(getattr(a, c), getattr(b, c)) for c in vars(a))
+    assert len(found.models) == 6 and 0 < max(sizes) < 20_000
+
+
+def test_the_tasks_of_a_step_do_not_grow_with_the_rows(spark, rows, monkeypatch, many_blocks):
+    """Every task reports some kB to the driver in each of some 1,600 steps."""
+    parts = []
+    persist = RDD.persist
+
+    def counted(self, *level):
+        parts.append(self.getNumPartitions())
+        return persist(self, *level)
+
+    monkeypatch.setattr(RDD, "persist", counted)
+    monkeypatch.setattr(boosting, "TASKS_PER_CORE", 1, raising=False)
+    expected = fit(rows, replace(PLAIN, rounds=2)).models["m"]
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a partition per file
+    try:
+        found = fit(rows, replace(PLAIN, rounds=2), block_rows=8).models["m"]
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert parts and max(parts) <= spark.sparkContext.defaultParallelism
+    for a, b in zip(expected.trees, found.trees, strict=True):
+        assert all(np.array_equal(getattr(a, c), getattr(b, c)) for c in vars(a))
+
+
 def test_repeated_rows_weigh_like_one_row_with_their_weight(spark, rows):
     twice = rows.union(rows).withColumn("w", F.col("w") / 2)
     one, two = fit(rows, replace(PLAIN, min_rows=1)), fit(twice, replace(PLAIN, min_rows=1))
