@@ -14,7 +14,7 @@ from revenue_lens.operators.blending import BLEND, blend, member_weights, with_s
 from revenue_lens.operators.cohorts import COHORTS, PERIODS, cohort_retention, cohort_retention_table
 from revenue_lens.operators.customers import customer_features
 from revenue_lens.operators.forecasting import all_forecasts, best_model, extend_series, forecast_comparison, split_series, weekly_series
-from revenue_lens.operators.ranking_metrics import calibration, leaderboard
+from revenue_lens.operators.ranking_metrics import calibration
 from revenue_lens.operators.regression import profit_drivers
 from revenue_lens.operators.rfm import add_rfm_segments, segment_profile
 from revenue_lens.operators.simulation import DEFAULT_DRAWS, monte_carlo_profit
@@ -96,7 +96,7 @@ def run(
 
     # Churn models.
     result = churn.train_churn_models(churn.training_rows(customers, seed=seed), sizes, seed)
-    board = materialize(leaderboard(result.metrics))
+    board = materialize(result.board)
     exports.write_csv(board, f"{tables}/churn_models")
     best = result.best
     best_calibration = calibration(result.scores.where(F.col("model") == best))

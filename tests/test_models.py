@@ -8,6 +8,7 @@ from revenue_lens.functions import heuristic_probability, risk_tier
 from revenue_lens.operators import attribution, churn, segments
 from revenue_lens.operators.ranking_metrics import calibration, leaderboard, ranking_metrics
 from revenue_lens.operators.regression import profit_drivers
+from revenue_lens.plans import model_queries
 from revenue_lens.settings import BEHAVIOUR_FEATURES, CHURN_FEATURES
 
 SMALL = churn.Sizes(boosting_rounds=5, tuned_rounds=3, forest_trees=10, depth_grid=(2, 3), leaves_grid=(2, 3))
@@ -297,3 +298,22 @@ def test_profit_drivers_against_least_squares(spark):
     assert rows["const"]["aic"] == pytest.approx(200 * (math.log(2 * math.pi) + math.log(ssr[0] / 200) + 1) + 8)
     assert rows["frequency_365d"]["p_value"] < 1e-6 < 0.01 < rows["tenure_days"]["p_value"]
     assert 0 <= rows["const"]["r2"] <= 1
+
+
+@pytest.mark.parametrize("name", ["q_churn_leaderboard", "q_churn_scores"])
+def test_a_failed_candidate_fails_the_queries(spark, customers, monkeypatch, name):
+    """Four rows in place of five looked like a whole comparison, and one run serves both queries."""
+
+    def broken(train):
+        raise MemoryError()
+
+    original, train = churn.candidates, churn.train_churn_models
+    monkeypatch.setattr(churn, "candidates", lambda *a: {**original(*a), "random_forest": broken})
+    monkeypatch.setattr(churn, "train_churn_models", lambda rows: train(rows, SMALL, names=["logistic_regression", "random_forest"]))
+    monkeypatch.setattr(model_queries, "features_now", lambda *a: customers)
+    monkeypatch.setattr(model_queries, "_RUNS", {})
+    with pytest.raises(RuntimeError, match="random_forest.*MemoryError"):
+        getattr(model_queries, name)(spark, "")
+    assert not model_queries._RUNS
+    run = train(churn.training_rows(customers), SMALL, names=["logistic_regression", "random_forest"])
+    assert [(r["model"], r["auc_roc"] is None, r["error"]) for r in run.board.collect()] == [("logistic_regression", False, None), ("random_forest", True, "MemoryError")]
