@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from revenue_lens.functions import hash_uniform
 from revenue_lens.functions.scoring import HEURISTIC_WEIGHTS
 from revenue_lens.operators.boosting import BoostedTreesModel
+from revenue_lens.operators.forest import ForestModel
 from revenue_lens.operators.storage import materialize
 from revenue_lens.operators.tree_shapley import boosted_stage, tree_shapley_values
 from revenue_lens.settings import CHURN_FEATURES, SEED
@@ -45,7 +46,7 @@ def coalition_weights(n: int) -> list[list[float]]:
 def _cuts(model: PipelineModel, features: list[str]) -> list[list[float]] | None:
     """Sorted split values of each feature of a tree model; None for other models."""
     last = model.stages[-1]
-    if isinstance(last, BoostedTreesModel):
+    if isinstance(last, (BoostedTreesModel, ForestModel)):
         fitted = last.fitted
         used = [{int(c) for t in fitted.trees for f, c in zip(t.feature, t.cut) if f == j} for j in range(len(features))]
         return [[float(fitted.cuts[j][c]) for c in sorted(cuts)] for j, cuts in enumerate(used)] if fitted.features == features else None
