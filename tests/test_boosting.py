@@ -182,6 +182,42 @@ def test_the_tasks_of_a_step_do_not_grow_with_the_rows(spark, rows, monkeypatch,
         assert all(np.array_equal(getattr(a, c), getattr(b, c)) for c in vars(a))
 
 
+@pytest.mark.parametrize("times", [1, 1000, 1 << 40])
+def test_numbers_summed_side_by_side_or_apart_grow_the_same_trees(monkeypatch, times):
+    """A double holds the sums of hessians and row counts of a part; not where counts are too large."""
+    rng = np.random.default_rng(8)
+    bins = rng.integers(0, 200, (3, 900)).astype(np.uint8)
+    plain = {"bins": bins, "label": (rng.random(900) < bins[0] / 256).astype(np.int8), "fold": rng.integers(0, 5, 900).astype(np.int8), "bucket": rng.integers(0, 20, 900).astype(np.int8), "n": rng.integers(1, 4, 900) * float(times), "weights": {0: rng.integers(1, 1 << 23, 900).astype(float)}}
+    boosters = [replace(PLAIN, rounds=3, max_depth=6, row_share=0.85), replace(PLAIN, rounds=3, max_depth=20, max_leaves=9, fold=1)]
+
+    def grown():
+        found = []
+        for b in boosters:
+            block = plain | {"margins": {0: np.full(900, 0.1)}}
+            found.append((boosting._grown({0: b}, ["w"], 3, 5, *boosting._in_place(block))[0], block["margins"][0]))
+        return found
+
+    one = grown()
+    monkeypatch.setattr(boosting, "PART", 64)
+    monkeypatch.setattr(boosting, "LEAST_TOGETHER", 1 if times == 1 else 1 << 60)
+    for (a, before), (b, after) in zip(one, grown()):
+        assert np.array_equal(before, after)
+        assert all(np.array_equal(getattr(x, c), getattr(y, c)) for x, y in zip(a, b, strict=True) for c in vars(x))
+        margins = np.full(900, 0.1)
+        for tree in a:
+            margins += tree.value[tree.places(bins.T)]
+        assert np.array_equal(margins, after) and max(t.rows[0] for t in a) > 500 * times
+
+
+def test_millions_of_rows_go_to_a_task_per_model(spark):
+    """5.4 million customers made thousands of jobs; a task reads its rows in small batches, not as one pickled block."""
+    assert boosting.BLOCK_ROWS >= 5_400_000
+    assert 5.4 * sum(a.nbytes for a in boosting._scratch(1000).values()) / 1000 < 300  # MB of a task beside the rows
+    met = boosting.each_task(spark.range(25_000).toDF("x"), 3)
+    sizes = met.mapInArrow(lambda batches: (type(b).from_pydict({"n": [b.num_rows]}) for b in batches), "n bigint").collect()
+    assert met.rdd.getNumPartitions() == 3 and sum(r["n"] for r in sizes) == 75_000 and max(r["n"] for r in sizes) <= 10_000
+
+
 def test_repeated_rows_weigh_like_one_row_with_their_weight(spark, rows):
     twice = rows.union(rows).withColumn("w", F.col("w") / 2)
     one, two = fit(rows, replace(PLAIN, min_rows=1)), fit(twice, replace(PLAIN, min_rows=1))

@@ -60,13 +60,26 @@ def same(one, many):
 def test_tasks_and_jobs_grow_the_same_trees(rows, monkeypatch, many_blocks):
     one = fit(rows, ["a", "b", "c"], trees=7, depth=6)
     same(one, fit(rows.repartition(7).orderBy(F.desc("key")), ["a", "b", "c"], trees=7, depth=6))
-    monkeypatch.setattr(forest, "PART", 50)
-    same(one, fit(rows, ["a", "b", "c"], trees=7, depth=6))
     monkeypatch.setattr(forest, "TREES_PER_JOB", 4)
     same(one, fit(rows, ["a", "b", "c"], trees=7, depth=6, block_rows=60))
     assert len({t.feature.tobytes() for t in one.trees}) == 7  # each its own rows
 
 
+def test_rows_summed_in_parts_give_the_same_sums(monkeypatch):
+    rng = np.random.default_rng(5)
+    block = {"bins": rng.integers(0, 32, 900).astype(np.uint8), "label": rng.integers(0, 2, 300).astype(np.int32), "weight": rng.integers(0, 9, 300).astype(float), "hash": rng.integers(0, 1 << 63, 300).astype(np.uint64)}
+    step, allowed = forest._Step(np.array([1]), np.array([15]), np.array([[0, 1]]), 2), np.array([[0, 1], [1, 2]])
+
+    def sums():
+        sample = forest._Sample(block, 3, 1, 0)
+        sample.move(step)
+        return sample.sums(allowed)
+
+    whole = sums()
+    monkeypatch.setattr(forest, "PART", 50)
+    assert np.array_equal(whole, sums()) and whole.sum() == 2 * (block["weight"] * forest.drawn(block["hash"], 1, 0)).sum()
+
+
 def test_draws_are_poisson_numbers():
     n = 200_000
     times = np.stack([forest.drawn(np.random.default_rng(1).integers(0, 1 << 63, n).astype(np.uint64), 42, t) for t in (0, 1)])
